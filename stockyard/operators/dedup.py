@@ -1,20 +1,21 @@
 """Keep the latest version of each key."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
 
 
-def keep_latest(df: DataFrame, keys: list[str], latest: list[Column] | None = None) -> DataFrame:
-    """One row per key: the first by ``latest``, ties going to the greatest remaining columns.
+def keep_latest(df: DataFrame, keys: list[str], latest: list[str] | None = None) -> DataFrame:
+    """One row per key: the greatest by ``latest`` (NULLs lowest), then by the remaining columns.
 
     The tie rule makes the survivor independent of input order and partitioning. Ranking
     with ``= 1`` lets Spark keep one row per key in each map task before the shuffle, so a
     key holding a third of all rows sends at most one row per map task.
     """
-    ties = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*(latest or []), *ties)
+    latest = latest or []
+    ties = [c for c in df.columns if c not in keys and c not in latest]
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in latest + ties])
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
 

@@ -49,7 +49,7 @@ def stage_header(raw: DataFrame, *extra_formats: str) -> DataFrame:
 def latest_header(staged: DataFrame) -> DataFrame:
     """Latest version per picklist among rows with a readable date."""
     dated = staged.where(F.col("pick_ts").isNotNull())
-    latest = keep_latest(dated, ["pick_list_id"], [F.col("update_date").desc_nulls_last(), F.col("pick_ts").desc_nulls_last()])
+    latest = keep_latest(dated, ["pick_list_id"], ["update_date", "pick_ts"])
     kept = ["status", "order_id", "data_pedido", "customer_id", "branch_id", "separator_id", "pronto_impressao",
             "em_separacao", "pronto_conferencia", "em_conferencia", "conferido", "saida", "cod_transp"]
     return latest.select("pick_list_id", F.col("pick_ts").cast("date").alias("pick_date"), *kept,
@@ -81,7 +81,7 @@ def stage_lines(raw: DataFrame, updated_at: str | Column, strict: bool = False)
 
 
 def latest_lines(staged: DataFrame) -> DataFrame:
-    return keep_latest(staged, ["pick_list_id", "pick_line_id"], [F.col("updated_at").desc_nulls_last()])
+    return keep_latest(staged, ["pick_list_id", "pick_line_id"], ["updated_at"])
 
 
 def lines(raw: DataFrame, updated_at: str | Column, strict: bool = False) -> DataFrame:
@@ -105,7 +105,7 @@ def stage_products(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def latest_products(staged: DataFrame) -> DataFrame:
-    return keep_latest(staged, ["product_id"], [F.col("created_at").desc_nulls_last()])
+    return keep_latest(staged, ["product_id"], ["created_at"])
 
 
 def products(raw: DataFrame, strict: bool = False) -> DataFrame:
@@ -126,7 +126,7 @@ def stage_customers(raw: DataFrame) -> DataFrame:
 
 
 def latest_customers(staged: DataFrame) -> DataFrame:
-    return keep_latest(staged, ["customer_id"], [F.col("src_ts").desc_nulls_last(), F.col("customer_name").desc()])
+    return keep_latest(staged, ["customer_id"], ["src_ts", "customer_name"])
 
 
 def customers(raw: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def branches(raw: DataFrame, load_ts: str | Column) -> DataFrame:
         *_text({"city": "City", "zip_code": "ZipCode", "street": "Street"}),
         _time(load_ts).alias("src_ts"),
     )
-    latest = keep_latest(staged, ["branch_id"], [F.col("src_ts").desc_nulls_last()])
+    latest = keep_latest(staged, ["branch_id"], ["src_ts"])
     return latest.withColumn("source_hash", row_hash(latest, BRANCH_HASH))
 
 
