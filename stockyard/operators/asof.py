@@ -8,7 +8,7 @@ from stockyard.operators.skew import SALTS, lookup
 
 
 def asof_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, date: str, take: dict[str, str],
-              hot: DataFrame | None = None, spread: str | None = None, salts: int = SALTS) -> DataFrame:
+              hot: list | None = None, spread: str | None = None, salts: int = SALTS) -> DataFrame:
     """Add to each fact row the ``take`` columns (dimension name -> new name) of the version
     valid on its day, NULL if none is.
 

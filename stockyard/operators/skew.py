@@ -7,53 +7,54 @@ from pyspark.sql import functions as F
 
 SALTS = 64
 HOT_ROWS = 5_000_000
-_SALT, _HOT = "__salt", "__hot"
+_SALT, _SALT_RIGHT, _HOT = "__salt", "__salt_right", "__hot"
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
-    """For each column of ``keys``, the values held by ``hot_rows`` rows or more.
+def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[str, list]:
+    """For each column of ``keys``, the values (NULL included) held by ``hot_rows`` rows or more.
 
-    All columns are counted in one pass with map-side partial counts. A column has at most
-    ``rows / hot_rows`` hot values, which is what makes the result safe to broadcast.
+    One narrow pass with map-side counts for all columns together. A column has at most
+    ``rows / hot_rows`` hot values, which bounds what is collected and later broadcast.
     """
     held = F.explode(F.array(*[F.struct(F.lit(k).alias("role"), F.col(k).alias("value")) for k in keys])).alias("held")
     counted = df.select(held).groupBy("held.role", "held.value").agg(F.count("*").alias("rows"))
-    hot = counted.where((F.col("rows") >= hot_rows) & F.col("value").isNotNull())
-    return {k: hot.where(F.col("role") == k).select(F.col("value").alias(k)) for k in keys}
+    hot = {k: [] for k in keys}
+    for role, value in counted.where(F.col("rows") >= hot_rows).select("role", "value").collect():
+        hot[role].append(value)
+    return {k: values for k, values in hot.items() if values}
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *,
-           also: Column | None = None, hot: DataFrame | None = None, spread: str | None = None,
+           also: Column | None = None, hot: list | None = None, spread: str | None = None,
            salts: int = SALTS) -> DataFrame:
     """Left join of ``left`` to its few matches in ``right``; every left row stays.
 
     Catalyst broadcasts ``right`` by itself while its estimated or measured size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise. With ``hot`` (one column
-    named ``left_key``) the shuffled form is salted: the matches of hot keys are copied to
-    ``salts`` buckets and left rows with a hot or NULL key spread over them by ``spread``.
-    Other keys keep one bucket, so only hot matches are copied.
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise, AQE splitting partitions
+    it finds skewed. With ``hot`` keys (see ``find_hot``) the join is salted beforehand: the
+    matches of hot keys are copied to ``salts`` buckets and left rows with a hot or NULL key
+    spread over them by ``spread``. Other keys keep one bucket, so only hot matches are copied.
     """
     match = F.col(left_key) == F.col(right_key)
     if also is not None:
         match = match & also
-    if hot is None:
+    if not hot:
         return left.join(right, match, "left")
 
-    buckets = F.pmod(F.xxhash64(F.col(spread or left_key)), F.lit(salts))
-    marked = hot.select(F.col(left_key).alias(_HOT))
+    marked = left.sparkSession.createDataFrame([(v,) for v in hot if v is not None], f"{_HOT} {left.schema[left_key].dataType.simpleString()}")
+    buckets = F.pmod(F.xxhash64(F.col(spread or left_key)), F.lit(salts)).cast("int")
     salted_left = (
         left.join(F.broadcast(marked), F.col(left_key) == F.col(_HOT), "left")
-        .withColumn(_SALT, F.when(F.col(left_key).isNull() | F.col(_HOT).isNotNull(), buckets).otherwise(F.lit(0)).cast("int"))
+        .withColumn(_SALT, F.when(F.col(left_key).isNull() | F.col(_HOT).isNotNull(), buckets).otherwise(F.lit(0)))
         .drop(_HOT)
     )
-    right_salt = f"{_SALT}_right"
     copies = F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_right = (
         right.join(F.broadcast(marked), F.col(right_key) == F.col(_HOT), "left")
-        .withColumn(right_salt, F.explode(copies))
+        .withColumn(_SALT_RIGHT, F.explode(copies))
         .drop(_HOT)
     )
-    return salted_left.join(salted_right, match & (F.col(_SALT) == F.col(right_salt)), "left").drop(_SALT, right_salt)
+    return salted_left.join(salted_right, match & (F.col(_SALT) == F.col(_SALT_RIGHT)), "left").drop(_SALT, _SALT_RIGHT)
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:

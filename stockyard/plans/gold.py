@@ -8,7 +8,7 @@ from stockyard.functions.hashing import row_hash, unknown_hash
 from stockyard.operators.asof import asof_join, or_unknown
 from stockyard.operators.keys import highest_key, literal_row, with_member
 from stockyard.operators.scd2 import current_versions
-from stockyard.operators.skew import HOT_ROWS, hot_keys, lookup
+from stockyard.operators.skew import lookup
 from stockyard.operators.upsert import upsert, upsert_numbered
 from stockyard.plans.silver import BRANCH_HASH, CUSTOMER_HASH
 from stockyard.schemas import conform
@@ -77,7 +77,7 @@ def numbered_companies(target: DataFrame, enriched: DataFrame) -> DataFrame:
 
 # --- fact -------------------------------------------------------------------------------------
 
-def line_totals(lines: DataFrame, products: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def line_totals(lines: DataFrame, products: DataFrame, hot_items: list | None = None) -> DataFrame:
     """Distinct items, pieces and gross weight per picklist; an unknown item weighs nothing.
 
     Lines are first reduced to one row per (picklist, item), which also spreads a huge
@@ -85,8 +85,7 @@ def line_totals(lines: DataFrame, products: DataFrame, hot_rows: int | None = HO
     """
     items = lines.groupBy("pick_list_id", "item_code").agg(F.sum("pick_quantity").alias("pieces"))
     weights = products.select(F.col("nk_product_id").alias("__item"), "weight")
-    hot = hot_keys(lines, ["item_code"], hot_rows)["item_code"] if hot_rows else None
-    weighed = lookup(items, weights, "item_code", "__item", hot=hot, spread="pick_list_id")
+    weighed = lookup(items, weights, "item_code", "__item", hot=hot_items, spread="pick_list_id")
     weight = F.coalesce(F.col("pieces"), F.lit(0)) * F.coalesce(F.col("weight"), F.lit(0))
     return weighed.groupBy("pick_list_id").agg(
         F.count("item_code").alias("QtdSKU"),
@@ -112,6 +111,12 @@ def separation_seconds() -> Column:
     return F.unix_timestamp("pronto_conferencia") - F.unix_timestamp("em_separacao")
 
 
+def fact_partitions(grain: str) -> dict[str, Column]:
+    """Directory columns of the stored fact: the date key itself, or its month."""
+    day = F.col("fk_data_sk")
+    return {"fk_data_sk": day} if grain == "day" else {"month_sk": F.floor(day / 100).cast("int")}
+
+
 FACT_HASH = ["CodPickList", "fk_data_sk", "fk_empresa_sk", "fk_cliente_sk", "CodPedido", "DataPedido", "CodCliente", "Filial",
              "StatusDocumento", "QtdPecas", "QtdSKU", "ProntoParaImpressao", "EmSeparacao", "ProntoParaConferencia",
              "EmConferencia", "Conferido", "Saida", "CodTransp"]
@@ -121,16 +126,16 @@ FACT_HASH_UNFILLED = ("CodPickList", "fk_data_sk", "fk_empresa_sk", "fk_cliente_
 
 def picklist_fact(header: DataFrame, lines: DataFrame, products: DataFrame, companies: DataFrame, customers: DataFrame,
                   calendar: DataFrame, updated_at: str, horizon: str = V.FACT_HORIZON,
-                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                  hot: dict[str, list] | None = None) -> DataFrame:
     """One row per picklist from ``horizon`` on, with the branch and customer versions valid that day.
 
     Only four kinds of rows are shuffled: lines (reduced), headers once per lookup that is
-    too big to broadcast, and the dimensions' narrow version columns. Hot customers, branches
-    and items are found by count and salted; ``hot_rows=None`` skips that.
+    too big to broadcast, and the dimensions' narrow version columns. ``hot`` names hot
+    customers, branches and items (``customer_id``, ``branch_id``, ``item_code``) to salt.
     """
+    hot = hot or {}
     recent = header.where(F.col("pick_date") >= F.lit(horizon).cast("date"))
-    hot = hot_keys(recent, ["customer_id", "branch_id"], hot_rows) if hot_rows else {}
-    facts = with_line_totals(recent, line_totals(lines, products, hot_rows))
+    facts = with_line_totals(recent, line_totals(lines, products, hot.get("item_code")))
     facts = asof_join(facts, companies, "branch_id", "cod_filial", "pick_date",
                       {"empresa_sk": "empresa_sk", "supervisor": "supervisor"}, hot.get("branch_id"), "pick_list_id")
     facts = asof_join(facts, customers, "customer_id", "customer_id", "pick_date",

@@ -15,6 +15,7 @@ from stockyard.functions.lookups import branch_size_of, cost_center_of, supervis
 from stockyard.operators import dedup, downtime, metrics, quality, scd2
 from stockyard.operators.asof import asof_join, or_unknown
 from stockyard.operators.keys import assign_surrogate_keys
+from stockyard.operators.skew import find_hot
 from stockyard.operators.upsert import changed_rows, upsert
 from stockyard.plans import gold, sample_feed as feed, silver
 from stockyard.schemas import empty
@@ -59,31 +60,53 @@ def _products(spark, d):
     return silver.products(feed.oitm(spark, d)).withColumnRenamed("product_id", "nk_product_id")
 
 
+def _stored(spark, d, *steps):
+    """Run load steps ``(table, build)`` on a fresh lake, storing each result; return the results."""
+    lake, results = _scratch(spark, "lake"), []
+    for table, build in steps:
+        results.append(tables.publish(build(tables.read_table(spark, lake, table), *results[-1:]), lake, table))
+    return results
+
+
 def _customer_loads(spark, d):
     """Customer history after the first load and after the second."""
-    first = scd2.apply_changes(empty(spark, "silver.dim_cliente_scd"), silver.customers(feed.ocrd(spark, d, 1)),
-                               "customer_id", "customer_sk", feed.FIRST_LOAD)
-    return first, scd2.apply_changes(first, silver.customers(feed.ocrd(spark, d, 2)), "customer_id", "customer_sk", feed.SECOND_LOAD)
+    def load(number, at):
+        return lambda dim, *_: scd2.apply_changes(dim, silver.customers(feed.ocrd(spark, d, number)), "customer_id", "customer_sk", at)
+    table = "silver.dim_cliente_scd"
+    return _stored(spark, d, (table, load(1, feed.FIRST_LOAD)), (table, load(2, feed.SECOND_LOAD)))
+
+
+def _branch_load(spark, d, number, at):
+    return lambda dim, *_: scd2.apply_changes(dim, silver.branches(feed.owhs(spark, d, number), at), "branch_id", "branch_sk", at)
 
 
 def _branch_loads(spark, d):
-    first = scd2.apply_changes(empty(spark, "silver.dim_filial_scd"), silver.branches(feed.owhs(spark, d, 1), feed.FIRST_LOAD),
-                               "branch_id", "branch_sk", feed.FIRST_LOAD)
-    return first, scd2.apply_changes(first, silver.branches(feed.owhs(spark, d, 2), feed.SECOND_LOAD),
-                                     "branch_id", "branch_sk", feed.SECOND_LOAD)
+    table = "silver.dim_filial_scd"
+    return _stored(spark, d, (table, _branch_load(spark, d, 1, feed.FIRST_LOAD)), (table, _branch_load(spark, d, 2, feed.SECOND_LOAD)))
 
 
 def _company_loads(spark, d):
-    branches_1, branches_2 = _branch_loads(spark, d)
-    first = gold.numbered_companies(empty(spark, "silver.dim_empresas"), silver.companies(branches_1))
-    return first, gold.numbered_companies(first, silver.companies(branches_2))
+    """Enriched branch history after the first load and after the second."""
+    def enrich(dim, branches):
+        return gold.numbered_companies(dim, silver.companies(branches))
+    branch, company = "silver.dim_filial_scd", "silver.dim_empresas"
+    loads = _stored(spark, d, (branch, _branch_load(spark, d, 1, feed.FIRST_LOAD)), (company, enrich),
+                    (branch, _branch_load(spark, d, 2, feed.SECOND_LOAD)), (company, enrich))
+    return loads[1], loads[3]
+
+
+def _hot(spark, d):
+    """Hot join keys, counted on the raw extracts: two narrow scans."""
+    headers = feed.opkl(spark, d).select(F.col("U_CodCliente").alias("customer_id"), F.col("U_Filial").alias("branch_id"))
+    items = feed.opkl1(spark, d).select(F.col("ItemCode").alias("item_code"))
+    return {**find_hot(headers, ["customer_id", "branch_id"]), **find_hot(items, ["item_code"])}
 
 
-def _fact(spark, d, header=None, lines=None):
+def _fact(spark, d, lines=None):
     return gold.picklist_fact(
-        header if header is not None else _header(spark, d), lines if lines is not None else _lines(spark, d),
-        _products(spark, d), _company_loads(spark, d)[1], _customer_loads(spark, d)[1],
-        calendar(spark, *CALENDAR), feed.SECOND_LOAD, feed.HORIZON)
+        _header(spark, d), _lines(spark, d) if lines is None else lines, _products(spark, d),
+        _company_loads(spark, d)[1], _customer_loads(spark, d)[1],
+        calendar(spark, *CALENDAR), feed.SECOND_LOAD, feed.HORIZON, _hot(spark, d))
 
 
 def _interval_history(spark, d):
@@ -380,11 +403,11 @@ def fact_picklists(spark, d):
 @_query
 def fact_upsert(spark, d):
     """The fact from first versions only, then brought up to date."""
-    raw, lines = feed.opkl(spark, d), _lines(spark, d)
+    raw, lines, hot = feed.opkl(spark, d), _lines(spark, d), _hot(spark, d)
     companies, customers, days = _company_loads(spark, d)[1], _customer_loads(spark, d)[1], calendar(spark, *CALENDAR)
 
     def built(header, at):
-        return gold.picklist_fact(header, lines, _products(spark, d), companies, customers, days, at, feed.HORIZON)
+        return gold.picklist_fact(header, lines, _products(spark, d), companies, customers, days, at, feed.HORIZON, hot)
 
     stored = built(silver.header(raw.where(F.col("UpdateDate") < feed.SECOND_LOAD)), feed.FIRST_LOAD)
     return upsert(stored, built(silver.header(raw), feed.SECOND_LOAD), ["CodPickList"], source_unique=True)
@@ -392,7 +415,7 @@ def fact_upsert(spark, d):
 
 @_query
 def fact_partition_counts(spark, d):
-    stored = tables.publish(_fact(spark, d), _scratch(spark, "lake"), "gold.fact_picklists", ["fk_data_sk"])
+    stored = tables.publish(_fact(spark, d), _scratch(spark, "lake"), "gold.fact_picklists", gold.fact_partitions("month"))
     return stored.groupBy("fk_data_sk").agg(F.count("*").alias("picklists"), F.sum("QtdPecas").alias("pieces"))
 
 
@@ -454,7 +477,7 @@ def dq_report(spark, d):
     header = _header(spark, d)
     companies, customers = _company_loads(spark, d)[1], _customer_loads(spark, d)[1]
     fact = gold.picklist_fact(header, _lines(spark, d), _products(spark, d), companies, customers,
-                              calendar(spark, *CALENDAR), feed.SECOND_LOAD, feed.HORIZON)
+                              calendar(spark, *CALENDAR), feed.SECOND_LOAD, feed.HORIZON, _hot(spark, d))
     return quality.quality_report(fact, customers, companies, header)
 
 

@@ -5,7 +5,7 @@ so a failed or repeated job leaves the last complete version in place. A version
 Spark's committer has put ``_SUCCESS`` into it.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from stockyard.schemas import conform, empty, schema
 
@@ -34,18 +34,19 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return conform(spark.read.schema(schema(table)).option("basePath", latest).parquet(latest), table)
 
 
-def publish(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
+def publish(df: DataFrame, root: str, table: str, partition_by: dict[str, Column] | None = None) -> DataFrame:
     """Write ``df`` as the next version of ``layer.table`` and return that version.
 
-    Rows are brought together by partition value before writing, one shuffle, so a partition
-    gets few files; AQE splits a partition value holding very many rows.
+    ``partition_by`` maps directory names to their values; a name may be one of the table's
+    columns. Rows are rebalanced by these values first, one shuffle, so that a directory gets
+    few files while AQE splits a value holding very many rows.
     """
     spark = df.sparkSession
     path = f"{root}/{table.replace('.', '/')}"
     version = (_versions(spark, path) or [0])[-1] + 1
     out = conform(df, table)
     if partition_by:
-        out = out.hint("rebalance", *partition_by)
+        out = out.withColumns(partition_by).hint("rebalance", *partition_by)
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
