@@ -26,9 +26,9 @@ def assign_surrogate_keys(df: DataFrame, sk: str, order: list[str], above: int =
     # A unique order needs no tie rule; otherwise the other columns settle it.
     everything = order + [c for c in df.columns if c not in order]
     fixed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*everything))
-    counts = fixed.groupBy(F.spark_partition_id().alias("part")).count().orderBy("part").collect()
+    counts = fixed.groupBy(F.spark_partition_id().alias("part")).count().collect()
     before, starts = above, []
-    for part, rows in counts:
+    for part, rows in sorted(map(tuple, counts)):
         starts.append((part, before))
         before += rows
     if not starts:

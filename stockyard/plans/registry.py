@@ -540,7 +540,8 @@ def stream_upsert_header(spark, d):
     for drop in (raw.where(F.col("UpdateDate") < feed.SECOND_LOAD), raw.where(F.col("UpdateDate") >= feed.SECOND_LOAD)):
         bronze.write_extract(drop, "OPKL", f"{bronze_root}/OPKL")
         stream = bronze.stream_bronze(spark, "OPKL", bronze_root, pattern="*.csv")
-        incremental.upsert_stream(stream, silver.header, lake, "silver.opkl_clean", ["pick_list_id"], f"{lake}/_stream")
+        incremental.upsert_stream(stream, silver.header, lake, "silver.opkl_clean", ["pick_list_id"], f"{lake}/_stream",
+                                  silver.header_partition())
     return tables.read_table(spark, lake, "silver.opkl_clean")
 
 

@@ -89,6 +89,16 @@ def lines(raw: DataFrame, updated_at: str | Column, strict: bool = False) -> Dat
     return latest.withColumn("row_hash", row_hash(latest, LINE_HASH))
 
 
+def header_partition() -> dict[str, Column]:
+    """Month of the picklist: a load mostly touches recent months."""
+    return {"pick_month": (F.year("pick_date") * 100 + F.month("pick_date")).cast("int")}
+
+
+def line_partition(ids: int = 1_000_000) -> dict[str, Column]:
+    """Range of picklist ids, which the source numbers in sequence; other ids share one partition."""
+    return {"id_range": F.floor(F.col("pick_list_id").try_cast("bigint") / ids).cast("bigint")}
+
+
 # --- products --------------------------------------------------------------------------------
 
 def stage_products(raw: DataFrame, strict: bool = False) -> DataFrame:

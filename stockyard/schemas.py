@@ -90,9 +90,11 @@ def tables() -> list[str]:
     return list(_DDL)
 
 
-def conform(df, table: str):
-    """Select and cast ``df`` to the layout of ``table``."""
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema(table)])
+def conform(df, table: str, *extra: str):
+    """Select and cast ``df`` to the layout of ``table``, keeping ``extra`` columns."""
+    fields = schema(table).fields
+    kept = [c for c in extra if c not in schema(table).names]
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in fields] + kept)
 
 
 def empty(spark, table: str):

@@ -1,13 +1,25 @@
-"""Lake tables as Parquet snapshots.
+"""Lake tables as Parquet.
 
-Each publish writes a complete new version directory and never touches the one being read,
-so a failed or repeated job leaves the last complete version in place. A version counts once
-Spark's committer has put ``_SUCCESS`` into it.
+``publish`` writes a complete new version directory and never touches the one being read, so
+a failed or repeated job leaves the last complete version in place; a version counts once
+Spark's committer has put ``_SUCCESS`` into it. That suits dimensions. ``merge_touched`` is for
+tables too big to rewrite: it replaces only the partitions in which a row changes.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stockyard.operators.skew import same_key
+from stockyard.operators.upsert import upsert
 from stockyard.schemas import conform, empty, schema
+from stockyard.sources.shared_dir import cut_lineage
+
+
+_PARTS = "parts"
+
+
+def _path(root: str, table: str) -> str:
+    return f"{root}/{table.replace('.', '/')}"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -26,7 +38,10 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Latest complete version of ``layer.table``; empty before the first publish."""
-    path = f"{root}/{table.replace('.', '/')}"
+    path = _path(root, table)
+    parts, fs = _folder(spark, f"{path}/{_PARTS}")
+    if fs.exists(parts):
+        return conform(spark.read.schema(schema(table)).parquet(f"{path}/{_PARTS}"), table)
     versions = _versions(spark, path)
     if not versions:
         return empty(spark, table)
@@ -42,7 +57,7 @@ def publish(df: DataFrame, root: str, table: str, partition_by: dict[str, Column
     few files while AQE splits a value holding very many rows.
     """
     spark = df.sparkSession
-    path = f"{root}/{table.replace('.', '/')}"
+    path = _path(root, table)
     version = (_versions(spark, path) or [0])[-1] + 1
     out = conform(df, table)
     if partition_by:
@@ -52,3 +67,47 @@ def publish(df: DataFrame, root: str, table: str, partition_by: dict[str, Column
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/v={version}")
     return read_table(spark, root, table)
+
+
+def merge_touched(source: DataFrame, root: str, table: str, keys: list[str], part: str, value: Column) -> DataFrame:
+    """Hash-guarded upsert of ``source`` (unique on ``keys``) into a table stored by ``part``.
+
+    ``value`` gives a row's partition. Stored keys, hashes and partitions are read to find the
+    new and changed rows; then only partitions such a row leaves or enters are read in full and
+    replaced. A load that changes nothing writes nothing. The new content is complete in the
+    shared folder before the first directory is replaced. Replacing the directories is one
+    commit per load but not atomic for readers; a catalog with row-level MERGE does better.
+    """
+    spark = source.sparkSession
+    path = f"{_path(root, table)}/{_PARTS}"
+    rows = conform(source, table)
+    folder, fs = _folder(spark, path)
+    if not fs.exists(folder):
+        rows.withColumn(part, value).hint("rebalance", part).write.partitionBy(part).parquet(path)
+        return read_table(spark, root, table)
+
+    stored = conform(spark.read.schema(schema(table)).parquet(path), table, part)
+    known = stored.select(*keys, F.col("row_hash").alias("__hash"), F.col(part).alias("__part"), F.lit(True).alias("__known")).alias("t")
+    hash_differs = F.col("__hash").isNull() | (F.col("__hash") != F.col("s.row_hash"))
+    changed = cut_lineage(
+        rows.alias("s").join(known, same_key("s", "t", keys), "left")
+        .where(F.col("__known").isNull() | hash_differs)
+        .select("s.*", F.col("__part").cast("string").alias("__left"), F.col("__known").isNotNull().alias("__moved")))
+    entered = changed.select(value.cast("string").alias("p"))
+    left = changed.where("__moved").select(F.col("__left").alias("p"))
+    touched = [r.p for r in entered.unionByName(left).distinct().collect()]
+    if not touched:
+        return read_table(spark, root, table)
+
+    here = F.col(part).cast("string")
+    named = [p for p in touched if p is not None]
+    affected = here.isin(named) | here.isNull() if None in touched else here.isin(named)
+    before = stored.where(affected).select([f.name for f in schema(table)])
+    after = cut_lineage(upsert(before, changed.drop("__left", "__moved"), keys, source_unique=True).withColumn(part, value))
+    (after.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
+    filled = {r.p for r in after.select(F.col(part).cast("string").alias("p")).distinct().collect()}
+    for emptied in set(touched) - filled:
+        name = "__HIVE_DEFAULT_PARTITION__" if emptied is None else emptied
+        fs.delete(_folder(spark, f"{path}/{part}={name}")[0], True)
+    spark.catalog.refreshByPath(path)
+    return read_table(spark, root, table)

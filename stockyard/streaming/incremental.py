@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockyard import fixed_values as V
+from stockyard.operators.dedup import require_unique
 from stockyard.operators.upsert import upsert
-from stockyard.sources.tables import publish, read_table
+from stockyard.sources.tables import merge_touched, publish, read_table
 
 
 def incremental_window(df: DataFrame, changed_at: str, as_of: str | Column, days: int = V.INCREMENTAL_WINDOW_DAYS) -> DataFrame:
@@ -17,15 +18,20 @@ def incremental_window(df: DataFrame, changed_at: str, as_of: str | Column, days
 
 
 def upsert_stream(raw: DataFrame, clean: Callable[[DataFrame], DataFrame], lake: str, table: str, keys: list[str],
-                  checkpoint: str, guard: str = "hash") -> None:
+                  checkpoint: str, partition: dict[str, Column] | None = None) -> None:
     """Drain a raw file stream into ``lake``: each micro-batch is cleaned and upserted.
 
-    A batch replayed after a failure meets its own rows and the hash guard leaves them alone,
+    With ``partition`` (one directory column) a batch rewrites only the partitions it changes,
+    otherwise the table gets a new version per batch. A batch replayed after a failure meets its own rows and the hash guard leaves them alone,
     so the sink is idempotent. Files are taken in the order they arrived; the last one wins.
     """
     def load(batch: DataFrame, _batch_id: int) -> None:
-        target = read_table(batch.sparkSession, lake, table)
-        publish(upsert(target, clean(batch), keys, guard=guard), lake, table)
+        source = clean(batch)
+        if partition:
+            (part, value), = partition.items()
+            merge_touched(require_unique(source, keys), lake, table, keys, part, value)
+        else:
+            publish(upsert(read_table(batch.sparkSession, lake, table), source, keys), lake, table)
 
     query = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -207,14 +207,15 @@ def test_metrics(spark, lake):
     assert (work.operator, work.picklists, float(work.pieces), work["items"]) == ("O1", 7, 17.5, 4)
 
 
-def test_stream_of_two_drops_equals_one_batch(spark, tmp_path):
+@pytest.mark.parametrize("by_month", [False, True])
+def test_stream_of_two_drops_equals_one_batch(spark, tmp_path, by_month):
     raw, out = f"{tmp_path}/raw", f"{tmp_path}/lake"
     drop(spark, raw, "OPKL", HEADERS[:6], "20260101_000000")
     drop(spark, raw, "OPKL", HEADERS[6:], "20260102_000000")
 
     def drain():
         incremental.upsert_stream(bronze.stream_bronze(spark, "OPKL", raw, files_per_trigger=1), silver.header, out, "silver.opkl_clean",
-                                  ["pick_list_id"], f"{out}/checkpoint")
+                                  ["pick_list_id"], f"{out}/checkpoint", silver.header_partition() if by_month else None)
         return as_set(tables.read_table(spark, out, "silver.opkl_clean"))
 
     batch = silver.header(bronze.read_bronze(spark, "OPKL", raw))
@@ -241,3 +242,27 @@ def test_operators_and_carriers(spark, rows):
     assert as_set(silver.operators(users), "user_code", "user_name") == {("O1", "Bia")}
     carriers = rows("TrnspCode STRING, TrnspName STRING, WebSite STRING", ("T1", "Log", "x"))
     assert as_set(silver.carriers(carriers), "carrier_code", "carrier_name") == {("T1", "Log")}
+
+
+def test_merge_rewrites_only_touched_partitions(spark, rows, tmp_path):
+    root, table = str(tmp_path), "silver.dim_transportadora"
+    schema = "carrier_code STRING, carrier_name STRING, website STRING, row_hash STRING"
+    part = F.col("website").try_cast("int")
+
+    def merge(*data):
+        return as_set(tables.merge_touched(rows(schema, *data), root, table, ["carrier_code"], "p", part))
+
+    def files():
+        base = f"{root}/silver/dim_transportadora/parts"
+        return {d: sorted(f for f in os.listdir(f"{base}/{d}") if f.endswith(".parquet")) for d in os.listdir(base) if d.startswith("p=")}
+
+    stored = {("a", "1", "1", "h"), ("b", "1", "1", "h"), ("c", "1", "2", "h"), ("d", "1", "x", "h"), ("e", "1", "3", None)}
+    assert merge(*stored) == stored
+    before = files()
+    assert merge(("a", "2", "1", "h"), ("c", "2", "9", "h")) == stored and files() == before       # same hashes
+    after = merge(("c", "2", "1", "h2"), ("f", "1", "4", "h"), ("d", "2", "4", "h2"), ("e", "2", "3", "h"))
+    assert after == {("a", "1", "1", "h"), ("b", "1", "1", "h"), ("c", "2", "1", "h2"), ("d", "2", "4", "h2"), ("e", "2", "3", "h"), ("f", "1", "4", "h")}
+    assert set(files()) == {"p=1", "p=3", "p=4"}                                                    # emptied partitions are gone
+    kept = files()
+    merge(("f", "2", "4", "h2"))
+    assert {d for d in kept if files()[d] == kept[d]} == {"p=1", "p=3"}
