@@ -7,30 +7,31 @@ from pyspark.sql import types as T
 from stockyard.fixed_values import DATE_FORMAT, HASH_SEPARATOR, TIMESTAMP_FORMAT
 
 
-def as_text(df: DataFrame, name: str, fill: bool = True) -> Column:
-    """A column's hash text. ``fill`` turns NULL into '' (0 for numbers)."""
-    kind, c = df.schema[name].dataType, F.col(name)
+def as_text(name: str, kind: T.DataType, fill: bool = True) -> str:
+    """SQL for a column's hash text. ``fill`` turns NULL into '' (0 for numbers)."""
+    text, blank = f"`{name}`", "''"
     if isinstance(kind, T.NumericType):
-        return (F.coalesce(c, F.lit(0).cast(kind)) if fill else c).cast("string")
+        filled = f"coalesce({text}, CAST(0 AS {kind.simpleString()}))"
+        return f"CAST({filled if fill else text} AS STRING)"
     if isinstance(kind, T.DateType):
-        c = F.date_format(c, DATE_FORMAT)
+        text = f"date_format({text}, '{DATE_FORMAT}')"
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        c = F.date_format(c, TIMESTAMP_FORMAT)
-    return F.coalesce(c, F.lit("")) if fill else c
+        text = f"date_format({text}, '{TIMESTAMP_FORMAT}')"
+    return f"coalesce({text}, {blank})" if fill else text
 
 
 def row_hash(df: DataFrame, columns: list[str], unfilled: tuple[str, ...] = ()) -> Column:
     """sha-256 over ``columns``. NULLs in ``unfilled`` are skipped, shifting what follows."""
-    return F.sha2(F.concat_ws(HASH_SEPARATOR, *[as_text(df, c, c not in unfilled) for c in columns]), 256)
+    kinds = df.schema
+    texts = ", ".join(as_text(c, kinds[c].dataType, c not in unfilled) for c in columns)
+    return F.expr(f"sha2(concat_ws('{HASH_SEPARATOR}', {texts}), 256)")
 
 
 def strict_row_hash(df: DataFrame, columns: list[str]) -> Column:
     """Collision-safe variant: each text is length-prefixed and NULL differs from ''."""
-    parts = []
-    for name in columns:
-        text = as_text(df, name, fill=False)
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.sha2(F.concat(*parts), 256)
+    kinds = df.schema
+    texts = [as_text(c, kinds[c].dataType, fill=False) for c in columns]
+    return F.expr("sha2(concat(" + ", ".join(f"coalesce(concat(length({t}), ':', {t}), '-')" for t in texts) + "), 256)")
 
 
 def unknown_hash(key: str) -> Column:

@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from stockyard import fixed_values as V
 
 
+def _literal(kind: str, values) -> Column:
+    """A literal ``map`` or ``array``, folded to a constant by Catalyst."""
+    return F.expr(f"{kind}({', '.join(repr(v) for v in values)})")
+
+
 def _literal_map(pairs: dict) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])
+    return _literal("map", chain.from_iterable(pairs.items()))
 
 
 def supervisor_of(state: Column) -> Column:
@@ -29,4 +34,4 @@ def branch_size_of(code: Column) -> Column:
 
 def name_at(names: list[str], position: Column) -> Column:
     """1-based name; NULL outside the list."""
-    return F.get(F.array(*[F.lit(n) for n in names]), position - 1)
+    return F.get(_literal("array", names), position - 1)

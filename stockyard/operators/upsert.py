@@ -20,6 +20,12 @@ def _may_update(guard: str, hash_column: str) -> Column:
                       F.lit(False))
 
 
+def _cells(target: DataFrame, source_columns: list[str]) -> list[str]:
+    """Each target column: the source's value where ``__take``, else the stored one."""
+    return [f"CAST(if(__take, s.`{f.name}`, t.`{f.name}`) AS {f.dataType.simpleString()}) AS `{f.name}`"
+            if f.name in source_columns else f"t.`{f.name}`" for f in target.schema]
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], guard: str = "hash",
            hash_column: str = "row_hash", source_unique: bool = False) -> DataFrame:
     """``target`` after the source: matched rows updated as ``guard`` allows, new rows added.
@@ -41,13 +47,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], guard: str = "
     t = target.withColumn("__t", F.lit(True)).alias("t")
     s = source.withColumn("__s", F.lit(True)).alias("s")
     take = F.col("t.__t").isNull() | (F.col("s.__s").isNotNull() & _may_update(guard, hash_column))
-    cells = []
-    for c in target.columns:
-        if c in source.columns:
-            cells.append(F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).cast(target.schema[c].dataType).alias(c))
-        else:
-            cells.append(F.col(f"t.{c}").alias(c))
-    return t.join(s, same_key("t", "s", keys), "full_outer").select(*cells)
+    joined = t.join(s, same_key("t", "s", keys), "full_outer").withColumn("__take", take)
+    return joined.selectExpr(*_cells(target, source.columns))
 
 
 def upsert_numbered(target: DataFrame, source: DataFrame, keys: list[str], sk: str, guard: str = "hash",
@@ -58,10 +59,9 @@ def upsert_numbered(target: DataFrame, source: DataFrame, keys: list[str], sk: s
         source = require_unique(source, keys)
     layout = [c for c in target.columns if c != sk]
     source = source.select([F.col(c).cast(target.schema[c].dataType).alias(c) for c in layout])
+    matched = F.col(f"s.{keys[0]}").isNotNull()
     updated = target.alias("t").join(source.alias("s"), same_key("t", "s", keys), "left")
-    take = F.col(f"s.{keys[0]}").isNotNull() & _may_update(guard, hash_column)
-    updated = updated.select(F.col(f"t.{sk}").alias(sk),
-                             *[F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in layout])
+    updated = updated.withColumn("__take", matched & _may_update(guard, hash_column)).selectExpr(*_cells(target, layout))
     fresh = source.alias("s").join(target.select(*keys).alias("t"), same_key("s", "t", keys), "left_anti")
     numbered = assign_surrogate_keys(fresh, sk, keys, highest_key(target, sk))
     return updated.unionByName(numbered)

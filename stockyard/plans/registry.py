@@ -19,6 +19,7 @@ from stockyard.operators.skew import find_hot
 from stockyard.operators.upsert import changed_rows, upsert
 from stockyard.plans import gold, sample_feed as feed, silver
 from stockyard.schemas import empty
+from stockyard.session import together
 from stockyard.sources import bronze, tables
 from stockyard.sources.shared_dir import shared_dir
 from stockyard.streaming import incremental
@@ -102,11 +103,17 @@ def _hot(spark, d):
     return {**find_hot(headers, ["customer_id", "branch_id"]), **find_hot(items, ["item_code"])}
 
 
+def _dimensions(spark, d):
+    """Company history, customer history and hot keys, built side by side."""
+    companies, customers, hot = together(spark, lambda: _company_loads(spark, d)[1], lambda: _customer_loads(spark, d)[1], lambda: _hot(spark, d))
+    return companies, customers, hot
+
+
 def _fact(spark, d, lines=None):
+    companies, customers, hot = _dimensions(spark, d)
     return gold.picklist_fact(
-        _header(spark, d), _lines(spark, d) if lines is None else lines, _products(spark, d),
-        _company_loads(spark, d)[1], _customer_loads(spark, d)[1],
-        calendar(spark, *CALENDAR), feed.SECOND_LOAD, feed.HORIZON, _hot(spark, d))
+        _header(spark, d), _lines(spark, d) if lines is None else lines, _products(spark, d), companies, customers,
+        calendar(spark, *CALENDAR), feed.SECOND_LOAD, feed.HORIZON, hot)
 
 
 def _interval_history(spark, d):
@@ -403,8 +410,8 @@ def fact_picklists(spark, d):
 @_query
 def fact_upsert(spark, d):
     """The fact from first versions only, then brought up to date."""
-    raw, lines, hot = feed.opkl(spark, d), _lines(spark, d), _hot(spark, d)
-    companies, customers, days = _company_loads(spark, d)[1], _customer_loads(spark, d)[1], calendar(spark, *CALENDAR)
+    raw, lines, days = feed.opkl(spark, d), _lines(spark, d), calendar(spark, *CALENDAR)
+    companies, customers, hot = _dimensions(spark, d)
 
     def built(header, at):
         return gold.picklist_fact(header, lines, _products(spark, d), companies, customers, days, at, feed.HORIZON, hot)
@@ -475,9 +482,9 @@ def dq_scd_gap(spark, d):
 @_query
 def dq_report(spark, d):
     header = _header(spark, d)
-    companies, customers = _company_loads(spark, d)[1], _customer_loads(spark, d)[1]
+    companies, customers, hot = _dimensions(spark, d)
     fact = gold.picklist_fact(header, _lines(spark, d), _products(spark, d), companies, customers,
-                              calendar(spark, *CALENDAR), feed.SECOND_LOAD, feed.HORIZON, _hot(spark, d))
+                              calendar(spark, *CALENDAR), feed.SECOND_LOAD, feed.HORIZON, hot)
     return quality.quality_report(fact, customers, companies, header)
 
 

@@ -7,6 +7,8 @@ like. `registry` runs the operators on these extracts and `oracle` restates both
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockyard.functions.lookups import name_at
+
 FIRST_LOAD = "1995-01-01 00:00:00"
 SECOND_LOAD = "1998-06-15 15:00:00"
 HORIZON = "1996-01-01"
@@ -29,7 +31,7 @@ def _code(prefix: str, n: Column, width: int) -> Column:
 
 
 def _state(n: Column) -> Column:
-    return F.get(F.array(*[F.lit(s) for s in STATES]), (n % len(STATES)).cast("int"))
+    return name_at(STATES, (n % len(STATES)).cast("int") + 1)
 
 
 def opkl(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,5 @@
 """Table layouts. Clock and business times carry no time zone."""
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Raw extract columns; every raw column is read as text.
@@ -94,9 +93,10 @@ def conform(df, table: str, *extra: str):
     """Select and cast ``df`` to the layout of ``table``, keeping ``extra`` columns."""
     fields = schema(table).fields
     kept = [c for c in extra if c not in schema(table).names]
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in fields] + kept)
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields], *kept)
 
 
 def empty(spark, table: str):
     """The target of a first run. Catalyst sees that it is empty and drops joins with it."""
-    return spark.range(1).where(F.lit(False)).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema(table)])
+    return spark.range(1).where("false").selectExpr(
+        *[f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema(table)])

@@ -1,5 +1,9 @@
 """Session settings the operators are written for."""
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -20,3 +24,9 @@ def local_session(cores: str = "8", name: str = "stockyard", memory: str = "8g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def together(spark: SparkSession, *steps: Callable) -> list:
+    """Results of independent steps, their Spark jobs sharing the cluster at the same time."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
