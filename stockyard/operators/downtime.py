@@ -39,8 +39,8 @@ def _days(start: str, end: str) -> Column:
     return F.explode(F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))).alias("day")
 
 
-def disjoint_intervals(downtime: DataFrame) -> DataFrame:
-    """Whole-branch downtime cut at midnight and deduplicated: (branch, day, from, to)."""
+def daily_stops(downtime: DataFrame) -> DataFrame:
+    """Whole-branch downtime, once per day it touches, without copies."""
     whole = downtime.where((F.col("pick_list_id") == V.WHOLE_BRANCH_CODE) & (F.col("stopped_at") < F.col("resumed_at")))
     return whole.select("branch_id", "stopped_at", "resumed_at").distinct().select(
         "branch_id", _days("stopped_at", "resumed_at"), "stopped_at", "resumed_at")
@@ -58,7 +58,7 @@ def exclude_downtime(fact: DataFrame, downtime: DataFrame) -> DataFrame:
         F.col("CodPickList").alias("__hit"), F.col("Filial").alias("__branch"),
         F.col("EmSeparacao").alias("__from"), F.col("ProntoParaConferencia").alias("__to"),
         _days("EmSeparacao", "ProntoParaConferencia").alias("__day"))
-    down = disjoint_intervals(downtime)
+    down = daily_stops(downtime)
     overlap = ((F.col("__branch") == F.col("branch_id")) & (F.col("__day") == F.col("day"))
                & (F.col("__from") < F.col("resumed_at")) & (F.col("stopped_at") < F.col("__to")))
     stopped = worked.join(down, overlap, "left_semi").select("__hit")

@@ -4,8 +4,6 @@ count in no average."""
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockyard import fixed_values as V
-
 
 def _whole(c: Column) -> Column:
     return F.round(c).cast("bigint")

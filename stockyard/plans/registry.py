@@ -528,7 +528,9 @@ def downtime_by_reason(spark, d):
 
 @_query
 def exclude_downtime(spark, d):
-    kept = downtime.exclude_downtime(_fact(spark, d), downtime.stage_downtime(feed.downtime(spark, d)))
+    # Stored first: the fact is read twice, once narrow for the overlap and once for the result.
+    fact = tables.publish(_fact(spark, d), _scratch(spark, "lake"), "gold.fact_picklists")
+    kept = downtime.exclude_downtime(fact, downtime.stage_downtime(feed.downtime(spark, d)))
     return kept.select("CodPickList", "Filial", "sla_segundos")
 
 

@@ -57,12 +57,12 @@ def customers(c1="Ana", day="2026-01-01 00:00:00"):
 
 
 def branches(state="SP"):
-    return [["F01", "Flow 1", state, "A", "1", "R"], ["F12", "Flow 12", "AC", "B", "2", "R"], ["FX", "Flow X", "ZZ", "C", "3", "R"]]
+    return [["F01", "Depot 1", state, "A", "1", "R"], ["F12", "Depot 12", "AC", "B", "2", "R"], ["FX", "Depot X", "ZZ", "C", "3", "R"]]
 
 
 DOWN = [
-    ["F01 - Flow SP", "2", "2026-01-10", "9", "5", "2026-01-10", "9", "50", "WC", "A@X.COM"],
-    ["F12 - Flow AC", "0", "2026-01-09", "23", "30", "2026-01-10", "9", "15", "Reunião", "B@X.COM"],
+    ["F01 - Depot SP", "2", "2026-01-10", "9", "5", "2026-01-10", "9", "50", "WC", "A@X.COM"],
+    ["F12 - Depot AC", "0", "2026-01-09", "23", "30", "2026-01-10", "9", "15", "Reunião", "B@X.COM"],
 ]
 
 
