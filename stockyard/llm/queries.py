@@ -50,9 +50,50 @@ SELECT t.doc_id, b.keep_id, g.group_size, t.doc_id IS NOT DISTINCT FROM b.keep_i
 FROM t JOIN g USING (s) JOIN b USING (s)"""
 
 
+def op5_secret_scan(spark, sf_dir):
+    """Secrets in every text."""
+    from stockyard.llm.secrets import secret_report
+    return table(spark, sf_dir, "documents").select("doc_id", secret_report(whole(F.col("text"))).alias("r")).select("doc_id", "r.*")
+
+
+def op6_token_counts(spark, sf_dir):
+    """Token counts of every text from its table of prefix counts, and where 2048 tokens end."""
+    from stockyard.llm.tokens import token_tables
+    counted = table(spark, sf_dir, "documents").select("doc_id", token_tables(whole(F.col("text")), (2048,)).alias("t"))
+    return counted.select("doc_id", "t.n_bytes", "t.n_tokens", (F.col("t.n_tokens") > 2048).alias("over_limit"), F.col("t.fits")[0].alias("fits_2048"))
+
+
+def op7_pack(spark, sf_dir):
+    """All texts in windows of 4096 tokens."""
+    from stockyard.llm.packing import pack
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+#: The rules of the query: verdict, host, path.
+RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+def op9_url_rules(spark, sf_dir):
+    """The rule that decides on every page's URL."""
+    from stockyard.llm.url_rules import judged
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    return judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP9_SQL = r"""
+WITH rules(verdict, rhost, rpath) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+u AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, url, regexp_extract(rest, '^([^/?#]*)', 1) AS h, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+l AS (SELECT page_id, path, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM p),
+m AS (SELECT l.page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict
+      FROM l JOIN rules ON (l.host = rhost OR ends_with(l.host, '.' || rhost)) AND starts_with(l.path, rpath) GROUP BY l.page_id)
+SELECT l.page_id, l.host, l.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM l LEFT JOIN m USING (page_id)"""
+
+
 def queries():
-    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_exact_dedup)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_exact_dedup, op5_secret_scan, op6_token_counts, op7_pack, op9_url_rules)}
 
 
 def oracle_sql():
-    return {"op3_exact_dedup": OP3_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op9_url_rules": OP9_SQL}
