@@ -180,7 +180,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
                 stops = windows(at, back, j)
                 rest = tail(len(ids) - (stops[-1] if stops else 0), window)
             else:
-                j = min(near.tolist(), key=lambda j: cost[j] - at[j] * 0)
+                j = min(near.tolist(), key=cost.__getitem__)
                 stops, rest = windows(at, back, j), []
                 stops = stops[:-2] if len(stops) > 2 else stops[:-1]  # planned again with what follows
             yield from emit([b - a for a, b in zip([0, *stops], stops)] + rest)

@@ -70,6 +70,15 @@ def op7_pack(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_language_id(spark, sf_dir):
+    """The language of every text, learned from the labels of three quarters of the documents."""
+    from stockyard.llm.language_id import held_out, identified, learnable, train
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(learnable(docs)).select("lang", whole(F.col("text")).alias("text")))
+    judged = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), identified(spark, model, whole(F.col("text"))).alias("l"))
+    return judged.select("doc_id", "held_out", F.col("l.lang").alias("lang_pred"), F.col("l.score").alias("score"))
+
+
 #: The rules of the query: verdict, host, path.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 
@@ -91,8 +100,17 @@ m AS (SELECT l.page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
 SELECT l.page_id, l.host, l.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM l LEFT JOIN m USING (page_id)"""
 
 
+def op10_main_text(spark, sf_dir):
+    """The main text of every page, with tag weights from the pages that mark their content."""
+    from stockyard.llm.html_text import main_texts, tag_weights
+    pages = table(spark, sf_dir, "pages")
+    texts = pages.select("page_id", "url", main_texts(F.col("html"), tag_weights(pages)).alias("text"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_exact_dedup, op5_secret_scan, op6_token_counts, op7_pack, op9_url_rules)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_exact_dedup, op5_secret_scan, op6_token_counts, op7_pack, op8_language_id,
+                                    op9_url_rules, op10_main_text)}
 
 
 def oracle_sql():
