@@ -13,6 +13,7 @@ language first by code point; letters outside the basic plane count as two; repe
 """
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -204,14 +205,14 @@ _scorers: dict = {}
 
 def identified(spark, model: dict, text: Column) -> Column:
     """Struct ``lang, score, bits, letters``: best language, its share of the likelihood over 50 letters, cross-entropy and length."""
-    sent = spark.sparkContext.broadcast(model)
+    sent, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.pandas_udf("lang string, score double, bits double, letters long")
     def judge(texts: pd.Series) -> pd.DataFrame:
-        if sent.id not in _scorers:
+        if key not in _scorers:
             _scorers.clear()
-            _scorers[sent.id] = Scorer(sent.value)
-        scorer, out = _scorers[sent.id], []
+            _scorers[key] = Scorer(sent.value)
+        scorer, out = _scorers[key], []
         if not scorer.model["langs"]:
             return pd.DataFrame({"lang": [UNKNOWN] * len(texts), "score": 0.0, "bits": None, "letters": 0})
         for lo in range(0, len(texts), 512):
