@@ -50,6 +50,12 @@ SELECT t.doc_id, b.keep_id, g.group_size, t.doc_id IS NOT DISTINCT FROM b.keep_i
 FROM t JOIN g USING (s) JOIN b USING (s)"""
 
 
+def op4_near_dedup(spark, sf_dir):
+    """The class of near duplicates of every document."""
+    from stockyard.llm.near_dedup import near_classes
+    return near_classes(table(spark, sf_dir, "documents")).drop("__row")
+
+
 def op5_secret_scan(spark, sf_dir):
     """Secrets in every text."""
     from stockyard.llm.secrets import secret_report
@@ -109,7 +115,7 @@ def op10_main_text(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_exact_dedup, op5_secret_scan, op6_token_counts, op7_pack, op8_language_id,
+    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_exact_dedup, op4_near_dedup, op5_secret_scan, op6_token_counts, op7_pack, op8_language_id,
                                     op9_url_rules, op10_main_text)}
 
 
