@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.llm.rows import whole
-from stockyard.llm.tokens import load
+from stockyard.llm.tokens import byte_letters, load, plain_chunk
 
 WINDOW, END_ID = 4096, 2
 #: Costs in tokens of padding: a cut at a sentence end, a cut elsewhere. A cut between documents costs nothing.
@@ -37,31 +37,51 @@ _REMEMBERED, _LONGEST = 300_000, 64
 
 
 class Encoder:
-    """Token ids as little-endian 32-bit bytes, through the library, one call per distinct chunk between blanks.
+    """Token ids as little-endian 32-bit bytes, through the library.
 
-    The vocabulary drops white space and no token or normalisation reaches across it, so the ids of a text are those of its chunks in a row.
+    The vocabulary drops white space and no token or normalisation reaches across it, so the ids of a text are those of its chunks
+    between blanks in a row. Distinct chunks are encoded once while they are remembered. A plain chunk, letters and then marks, is
+    split by rule and only its pieces go to the library's model; all others go through the whole library.
     """
 
     def __init__(self, path: str | None):
         self.tokenizer = load(path)
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.stops = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.stops[[i for t, i in vocabulary.items() if t.endswith("</w>") and t[:-4] and set(t[:-4]) <= set(".!?") ]] = True
+        self.stops[[i for t, i in vocabulary.items() if t.endswith("</w>") and t[:-4] and set(t[:-4]) <= set(".!?")]] = True
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.pieces.get(piece)
+        if known is None:
+            letters = piece if piece.isascii() else byte_letters(piece)
+            tokens = self.tokenizer.model.tokenize(letters)
+            known = self.pieces[piece] = tokens[0].id.to_bytes(4, "little") if len(tokens) == 1 else b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         chunks = set().union(*split)
-        new = chunks - self.known.keys()
-        if len(self.known) + len(new) > _REMEMBERED:
-            self.known = {c: self.known[c] for c in chunks - new if len(c) <= _LONGEST}
-            new = chunks - self.known.keys()
-        new = list(new)
-        for lo in range(0, len(new), 4096):
-            some = new[lo:lo + 4096]
-            for chunk, coded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[chunk] = np.array(coded.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, s)) for s in split]
+        known = self.known
+        new = chunks - known.keys()
+        if len(known) + len(new) > _REMEMBERED:
+            known = self.known = {c: known[c] for c in chunks - new if len(c) <= _LONGEST}
+            new = chunks - known.keys()
+        if len(self.pieces) > _REMEMBERED:
+            self.pieces = {}
+        odd, piece = [], self._piece
+        for chunk in new:
+            simple = plain_chunk(chunk) if len(chunk) <= _LONGEST else None
+            if simple:
+                word, marks = simple.groups()
+                known[chunk] = piece(word.lower()) + piece(marks) if marks else piece(word.lower())
+            else:
+                odd.append(chunk)
+        for lo in range(0, len(odd), 4096):
+            for chunk, coded in zip(odd[lo:lo + 4096], self.tokenizer.encode_batch_fast(odd[lo:lo + 4096], add_special_tokens=False)):
+                known[chunk] = np.array(coded.ids, "<u4").tobytes()
+        return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
 def cuts(ids: np.ndarray, ends: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -59,6 +59,14 @@ def _byte_letters() -> list[str]:
 _LETTERS = str.maketrans(dict(enumerate(_byte_letters())))
 
 
+#: A chunk of letters and then marks, split by the vocabulary's rule without a doubt; ``None`` for other chunks.
+plain_chunk = _SIMPLE.fullmatch
+
+
+def byte_letters(piece: str) -> str:
+    return piece.encode("utf-8").decode("latin-1").translate(_LETTERS)
+
+
 class Remembered(dict):
     """A bounded memory: when it is full it starts anew, and takes over from the old one what is asked for again."""
 
@@ -162,7 +170,7 @@ class PrefixCounts:
     def _letters(self, piece: str) -> list[int]:
         """Counts after each code point of one word in plain text, which is lower case already."""
         raw = piece.encode("utf-8")
-        counts = self._word(raw.decode("latin-1").translate(_LETTERS))
+        counts = self._word(byte_letters(piece))
         if len(raw) == len(piece):
             return counts
         end, out = 0, []
@@ -206,7 +214,7 @@ class PrefixCounts:
 
     def counts(self, chunk: str) -> list[int]:
         """Counts after each code point of any text in NFC."""
-        simple = _SIMPLE.fullmatch(chunk)
+        simple = plain_chunk(chunk)
         if simple:
             word, marks = simple.groups()
             out = self._letters(word.lower())
@@ -343,7 +351,7 @@ class _Steps:
             new = chunks - self.known.keys()
         plain, out = [], {}
         for chunk in new:
-            simple = len(chunk) <= _LONGEST and _SIMPLE.fullmatch(chunk)
+            simple = len(chunk) <= _LONGEST and plain_chunk(chunk)
             if simple:
                 word, marks = simple.groups()
                 plain.append((chunk, word.lower(), marks))
