@@ -8,7 +8,7 @@ a process are drawn in order of time and only until they are later than every re
 Texts with equal multisets are one class and only its first row goes on. Within a band's bucket no pairs are listed: every member is
 compared with the bucket's first. What that leaves open (members that are not like the first, and those near enough to its limit that, by the triangle inequality of
 the Jaccard distance, they could still be like one of these) is bucketed again by its rarest shingles, an exact prefix filter, and
-compared round by round with the first of each bucket until every bucket is one component or used up.
+compared round by round with the next few members of its buckets, until every bucket is one component or used up.
 
 Defined results: words are runs without white space, in lower case; a text of one to four words is one shingle; NULL, empty and blank texts are one class;
 repeated rows are copies; of a class the smallest ``doc_id`` stays (NULL last), of equal ones the first row; extra columns are not touched.
@@ -35,6 +35,8 @@ BANDS, PER_BAND = 25, 6
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 _REMEMBERED = 300_000
+#: Members of a rare shingle's bucket that all others are compared with in one round; the next ones follow in the next round.
+_HEADS = 256
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -192,12 +194,19 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return pairs.join(mine, "rep").join(theirs, "leader").select("rep", "leader", "own", "other").mapInArrow(work, "rep long, leader long, similarity double")
 
 
-def _round(buckets: DataFrame, named: DataFrame | None) -> DataFrame:
-    """Members of the buckets that still hold more than one component, each with its bucket's first member."""
+def _placed(buckets: DataFrame, named: DataFrame | None) -> DataFrame:
+    """Members of the buckets that hold more than one component, with their component."""
     members = buckets.withColumn("component", F.col("rep")) if named is None else (
         buckets.join(named, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node"))
-    first = members.groupBy("key").agg(F.min(F.struct("rep", "weight", "component")).alias("f"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    return members.join(first.select(F.col("key").alias("k"), F.col("f.rep").alias("leader"), F.col("f.weight").alias("leads"), F.col("f.component").alias("joined")), F.col("key") == F.col("k")).drop("k")
+    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select(F.col("key").alias("k"))
+    return members.join(mixed, F.col("key") == F.col("k"), "left_semi")
+
+
+def _firsts(buckets: DataFrame) -> DataFrame:
+    """Members of the buckets, each with its bucket's first member."""
+    first = buckets.groupBy("key").agg(F.min(F.struct("rep", "weight")).alias("f"))
+    return (buckets.join(first.select(F.col("key").alias("k"), F.col("f.rep").alias("leader"), F.col("f.weight").alias("leads")), F.col("key") == F.col("k"))
+            .where("rep != leader").drop("k"))
 
 
 def _bound() -> F.Column:
@@ -206,17 +215,16 @@ def _bound() -> F.Column:
 
 
 def _open_members(members: DataFrame, verified: DataFrame, similar: float) -> DataFrame:
-    """Members whose bucket's first member does not settle them: ``key, rep, weight``."""
-    known = members.where("rep != leader").join(verified, ["rep", "leader"], "left").withColumn(
-        "like", F.when(F.col("component") == F.col("joined"), F.lit(None)).otherwise(F.coalesce("similarity", _bound())))
+    """Members that the comparison with their bucket's first does not settle: ``rep, weight``."""
+    known = members.join(verified, ["rep", "leader"], "left").withColumn("like", F.coalesce("similarity", _bound()))
     apart = known.where(F.col("like") < similar).groupBy("key").agg(F.min(1 - F.col("like")).alias("nearest")).select(F.col("key").alias("k"), "nearest")
     # A linked member is settled if it is nearer to the first than any unlinked one minus the greatest distance of a link.
-    stays = F.col("like").isNull() | (F.col("like") < similar) | (1 - F.col("like") >= F.col("nearest") - (1 - similar) - 1e-9)
-    return known.join(apart, F.col("key") == F.col("k")).where(stays).select("key", "rep", "weight")
+    stays = (F.col("like") < similar) | (1 - F.col("like") >= F.col("nearest") - (1 - similar) - 1e-9)
+    return known.join(apart, F.col("key") == F.col("k")).where(stays).select("rep", "weight").distinct()
 
 
 def _prefixes(reps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
-    """Buckets by rare shingles: two texts at least this similar share one of the rarest shingles of each (``key, rep, weight``)."""
+    """Buckets by rare shingles: two texts at least this similar share one of the rarest shingles of each (``key, rep, weight, place``)."""
     layout = pa.schema([("rep", pa.int64()), ("weight", pa.int64()), ("key", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +240,7 @@ def _prefixes(reps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     shared = each.join(common, "key").withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("count", "key"))).withColumn("others", F.count("*").over(Window.partitionBy("rep")))
     kinds = each.groupBy("rep").agg(F.count("*").alias("kinds"))
     place = F.col("place") + F.col("kinds") - F.col("others")
-    return shared.join(kinds, "rep").where(place <= F.col("weight") - F.ceil(F.col("weight") * similar) + 1).select("key", "rep", "weight")
+    return shared.join(kinds, "rep").where(place <= F.col("weight") - F.ceil(F.col("weight") * similar) + 1).select("key", "rep", "weight", F.row_number().over(Window.partitionBy("key").orderBy("rep")).alias("place"))
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR, bands: int = BANDS, per_band: int = PER_BAND, size: int = SHINGLE) -> DataFrame:
@@ -250,23 +258,25 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     texts = numbered(docs).select(F.col(ROW).alias("row"), whole(F.col(f"`{text}`")).alias("text")).join(wanted, F.col("row") == F.col("w"), "left_semi")
     bags = cut_lineage(_bags(texts, size))
 
-    verified, named, edges, turn = None, None, None, 0
-    while True:
-        members = cut_lineage(_round(buckets, named))
-        if members.isEmpty():
-            break
-        pairs = members.where((F.col("component") != F.col("joined")) & (_bound() >= similar)).select("rep", "leader").distinct()
-        if verified is not None:
-            pairs = pairs.join(verified, ["rep", "leader"], "left_anti")
+    members = cut_lineage(_firsts(buckets))
+    verified = cut_lineage(_verified(members.where(_bound() >= similar).select("rep", "leader").distinct(), bags))
+    edges, named = verified.where(F.col("similarity") >= similar).select(F.col("rep").alias("a"), F.col("leader").alias("b")), None
+    if not edges.isEmpty():
+        named = cut_lineage(components(edges))
+    rare = cut_lineage(_prefixes(_open_members(members, verified, similar), bags, similar))
+    last, done = rare.agg(F.max("place")).first()[0] or 0, 0
+    while done < last:
+        open_ = cut_lineage(_placed(rare.where(F.col("place") > done), named))
+        heads = open_.where(F.col("place") <= done + _HEADS).select(
+            F.col("key").alias("k"), F.col("rep").alias("leader"), F.col("weight").alias("leads"), F.col("component").alias("joined"), F.col("place").alias("before"))
+        pairs = (open_.join(heads, F.col("key") == F.col("k")).where((F.col("before") < F.col("place")) & (F.col("component") != F.col("joined")) & (_bound() >= similar))
+                 .select("rep", "leader").distinct().join(verified, ["rep", "leader"], "left_anti"))
         found = cut_lineage(_verified(pairs, bags))
-        verified = found if verified is None else cut_lineage(verified.unionByName(found))
         links = found.where(F.col("similarity") >= similar).select(F.col("rep").alias("a"), F.col("leader").alias("b"))
-        edges = links if edges is None else edges.unionByName(links)
-        named = cut_lineage(components(edges))
-        buckets = cut_lineage(_open_members(members, verified, similar))
-        if not turn:
-            buckets = cut_lineage(_prefixes(buckets.select("rep", "weight").distinct(), bags, similar))
-        turn += 1
+        if not links.isEmpty():
+            edges = cut_lineage(edges.unionByName(links))
+            named = cut_lineage(components(edges))
+        verified, done = cut_lineage(verified.unionByName(found)), done + _HEADS
 
     rows = numbered(docs).select(ROW, F.col(f"`{doc_id}`").alias("doc_id")).join(placed, ROW)
     if named is not None:
