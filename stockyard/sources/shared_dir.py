@@ -1,23 +1,29 @@
 """The folder for cut lineage and scratch tables."""
 
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCK = threading.Lock()
+_CHOSEN: dict[str, str] = {}  # by application
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. A local session without one gets a folder of its own."""
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="stockyard-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    """The cluster's shared folder, the same at every call. A local session without one gets a folder of its own."""
+    context = spark.sparkContext
+    with _LOCK:
+        named = _CHOSEN.get(context.applicationId)
+        if named is None:
+            named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING) or context.getCheckpointDir()
+            if not named:
+                if not context.master.startswith("local"):
+                    raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
+                named = tempfile.mkdtemp(prefix="stockyard-")
+            _CHOSEN[context.applicationId] = named
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(named)
     return named
 
 

@@ -16,6 +16,7 @@ from stockyard.sources.shared_dir import cut_lineage
 
 
 _PARTS = "parts"
+_NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _path(root: str, table: str) -> str:
@@ -83,18 +84,23 @@ def merge_touched(source: DataFrame, root: str, table: str, keys: list[str], par
     rows = conform(source, table)
     folder, fs = _folder(spark, path)
     if not fs.exists(folder):
+        if _versions(spark, _path(root, table)):  # published rows are where the merge starts
+            rows = cut_lineage(upsert(read_table(spark, root, table), rows, keys, source_unique=True))
         rows.withColumn(part, value).hint("rebalance", part).write.partitionBy(part).parquet(path)
         return read_table(spark, root, table)
 
     stored = conform(spark.read.schema(schema(table)).parquet(path), table, part)
-    known = stored.select(*keys, F.col("row_hash").alias("__hash"), F.col(part).alias("__part"), F.lit(True).alias("__known")).alias("t")
-    hash_differs = F.col("__hash").isNull() | (F.col("__hash") != F.col("s.row_hash"))
+    # A commit cut off half way may have left a key in two partitions; such a key counts as changed in both.
+    known = stored.groupBy(*keys).agg(
+        F.min("row_hash").alias("__hash"), F.collect_set(F.coalesce(F.col(part).cast("string"), F.lit(_NULL_PART))).alias("__parts"),
+        F.count("*").alias("__copies"), F.lit(True).alias("__known")).alias("t")
+    hash_differs = F.col("__hash").isNull() | (F.col("__hash") != F.col("s.row_hash")) | (F.col("__copies") > 1)
     changed = cut_lineage(
         rows.alias("s").join(known, same_key("s", "t", keys), "left")
         .where(F.col("__known").isNull() | hash_differs)
-        .select("s.*", F.col("__part").cast("string").alias("__left"), F.col("__known").isNotNull().alias("__moved")))
+        .select("s.*", "__parts"))
     entered = changed.select(value.cast("string").alias("p"))
-    left = changed.where("__moved").select(F.col("__left").alias("p"))
+    left = changed.select(F.explode("__parts").alias("p")).select(F.nullif("p", F.lit(_NULL_PART)).alias("p"))
     touched = [r.p for r in entered.unionByName(left).distinct().collect()]
     if not touched:
         return read_table(spark, root, table)
@@ -103,11 +109,12 @@ def merge_touched(source: DataFrame, root: str, table: str, keys: list[str], par
     named = [p for p in touched if p is not None]
     affected = here.isin(named) | here.isNull() if None in touched else here.isin(named)
     before = stored.where(affected).select([f.name for f in schema(table)])
-    after = cut_lineage(upsert(before, changed.drop("__left", "__moved"), keys, source_unique=True).withColumn(part, value))
-    (after.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
+    after = cut_lineage(upsert(before, changed.drop("__parts"), keys, source_unique=True).dropDuplicates(keys).withColumn(part, value))
+    # Emptied directories go first: the rows they held are in the source, so a load repeated after a failure puts them back.
     filled = {r.p for r in after.select(F.col(part).cast("string").alias("p")).distinct().collect()}
     for emptied in set(touched) - filled:
-        name = "__HIVE_DEFAULT_PARTITION__" if emptied is None else emptied
+        name = _NULL_PART if emptied is None else emptied
         fs.delete(_folder(spark, f"{path}/{part}={name}")[0], True)
+    (after.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
     spark.catalog.refreshByPath(path)
     return read_table(spark, root, table)

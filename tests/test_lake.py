@@ -266,3 +266,34 @@ def test_merge_rewrites_only_touched_partitions(spark, rows, tmp_path):
     kept = files()
     merge(("f", "2", "4", "h2"))
     assert {d for d in kept if files()[d] == kept[d]} == {"p=1", "p=3"}
+
+
+def test_merge_starts_from_published_rows(spark, rows, tmp_path):
+    root, table = str(tmp_path), "silver.dim_transportadora"
+    schema = "carrier_code STRING, carrier_name STRING, website STRING, row_hash STRING"
+    tables.publish(rows(schema, ("a", "1", "1", "h"), ("b", "1", "2", "h")), root, table)
+    merged = tables.merge_touched(rows(schema, ("b", "2", "2", "h2")), root, table, ["carrier_code"], "p", F.col("website").try_cast("int"))
+    assert as_set(merged) == {("a", "1", "1", "h"), ("b", "2", "2", "h2")}
+
+
+def test_merge_heals_a_commit_cut_off_half_way(spark, rows, tmp_path):
+    root, table = str(tmp_path), "silver.dim_transportadora"
+    schema = "carrier_code STRING, carrier_name STRING, website STRING, row_hash STRING"
+    part, merge = F.col("website").try_cast("int"), None
+    merge = lambda *data: tables.merge_touched(rows(schema, *data), root, table, ["carrier_code"], "p", part)
+    merge(("a", "1", "1", "h"), ("b", "1", "1", "h"))
+    # The row has entered its new partition but the old one still holds it.
+    tables.conform(rows(schema, ("a", "1", "2", "h2")), table).withColumn("p", part).write.mode("append").partitionBy("p").parquet(f"{root}/silver/dim_transportadora/parts")
+    healed = merge(("a", "1", "2", "h2"))
+    assert healed.count() == 2 and as_set(healed) == {("a", "1", "2", "h2"), ("b", "1", "1", "h")}
+
+
+def test_a_stop_without_end_makes_no_rows(spark):
+    from stockyard.operators.downtime import daily_stops, exclude_downtime
+    downtime = spark.sql("SELECT '0' AS pick_list_id, 'F1' AS branch_id, timestamp_ntz'2026-01-02 10:00:00' AS stopped_at, timestamp_ntz'9999-12-31 00:00:00' AS resumed_at")
+    fact = spark.sql("""SELECT * FROM VALUES ('1', 'F1', timestamp_ntz'2026-01-01 09:00:00', timestamp_ntz'2026-01-01 09:30:00'),
+        ('2', 'F1', timestamp_ntz'2026-01-03 09:00:00', timestamp_ntz'2026-01-03 09:30:00'), ('3', 'F2', timestamp_ntz'2026-01-03 09:00:00', timestamp_ntz'2026-01-03 09:30:00')
+        AS t(CodPickList, Filial, EmSeparacao, ProntoParaConferencia)""")
+    import datetime
+    assert daily_stops(downtime, datetime.date(2026, 1, 1), datetime.date(2026, 1, 3)).count() == 2
+    assert as_set(exclude_downtime(fact, downtime), "CodPickList") == {("1",), ("3",)}
