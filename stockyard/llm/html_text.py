@@ -3,7 +3,7 @@
 A page is a row of words and tags. Each word scores one, each tag a negative weight; one linear scan finds the region whose sum is
 highest (the maximum-scoring subsequence). Tag weights are learned from labelled pages, those whose content is marked by
 exactly one ``article`` element: a tag costs the more the larger the share of its occurrences outside marked content.
-Elements that are never content (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) are one costly tag each.
+Elements that are never content (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) are taken out and cost as one tag each.
 
 Defined results: a NULL or empty page has an empty text; of regions with equal scores the first, then the shortest, wins; an unclosed element ends with the page only
 if it is a footer, else it is read as if it had no tag; nothing is cut from long pages; extra columns are not touched.
@@ -22,6 +22,8 @@ from stockyard.llm.rows import whole
 
 #: Cost of a tag that only occurs outside content, and of one that only occurs inside.
 OUTSIDE, INSIDE = 3.0, 0.01
+#: Cost of a removed element, which may also stand within content.
+REMOVED = 0.5
 
 _PART = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
@@ -41,7 +43,7 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
     legend li main menu nav ol p pre section summary table caption tbody td tfoot th thead tr ul""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Tags that may stand in content; if no labelled page shows one, it costs little. Others unseen cost ``OUTSIDE``.
-_PLAIN = frozenset("a abbr b bdi bdo blockquote br caption cite code dd del dfn div dl dt em figcaption figure h1 h2 h3 h4 h5 h6 hr i img ins kbd li main mark ol p pre q s samp section small span strong sub sup table tbody td tfoot th thead time tr u ul var wbr article".split())
+_PLAIN = frozenset("a abbr b bdi bdo blockquote br caption cite code dd del dfn div dl dt em figcaption figure h1 h2 h3 h4 h5 h6 hr i img ins kbd li main mark ol p pre q s samp section small span strong sub sup table tbody td tfoot th thead time tr u ul var wbr".split())
 
 WORD, TAG, NOT = 0, 1, 2
 
@@ -102,7 +104,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         if kind == WORD:
             total += len(value.split())
         elif kind == NOT:
-            total -= OUTSIDE
+            total -= REMOVED
         else:
             total -= weights.get(value, INSIDE if value in _PLAIN else OUTSIDE)
         if total <= 0:
