@@ -224,10 +224,10 @@ def _open_members(members: DataFrame, verified: DataFrame, similar: float) -> Da
 
 
 def _prefixes(reps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
-    """Buckets by rare shingles: two texts at least this similar share one of the rarest shingles of each (``key, rep, weight, ahead, turn, turns, place``).
+    """Buckets by rare shingles: two texts at least this similar share one of the rarest shingles of each (``key, rep, weight, ahead, count, place``).
 
-    ``turns`` are all shingles of a member's prefix, rare ones first, and ``ahead`` the number of those before this one. A pair is compared only in
-    the first bucket it shares, and only if what follows there in both is enough for the similarity: shingles before it are not shared.
+    ``ahead`` is the number of a member's shingles that come before this one in the order, rare ones first. A pair is compared only in the first bucket it
+    shares, and only if what follows there in both is enough for the similarity: shingles before it are not shared.
     """
     layout = pa.schema([("rep", pa.int64()), ("weight", pa.int64()), ("key", pa.int64())])
 
@@ -245,9 +245,7 @@ def _prefixes(reps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     kinds = each.groupBy("rep").agg(F.count("*").alias("kinds"))
     ahead = F.col("place") + F.col("kinds") - F.col("others") - 1
     prefix = shared.join(kinds, "rep").withColumn("ahead", ahead).where(F.col("ahead") <= F.col("weight") - F.ceil(F.col("weight") * similar))
-    turn = F.struct("count", "key")
-    return prefix.select("key", "rep", "weight", "ahead", turn.alias("turn"), F.collect_list(turn).over(Window.partitionBy("rep")).alias("turns"),
-                         F.row_number().over(Window.partitionBy("key").orderBy("rep")).alias("place"))
+    return prefix.select("key", "rep", "weight", "ahead", "count", F.row_number().over(Window.partitionBy("key").orderBy("rep")).alias("place"))
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR, bands: int = BANDS, per_band: int = PER_BAND, size: int = SHINGLE) -> DataFrame:
@@ -271,16 +269,19 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     if not edges.isEmpty():
         named = cut_lineage(components(edges))
     rare = cut_lineage(_prefixes(_open_members(members, verified, similar), bags, similar))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("count", "key"))), lambda x: x["key"])
+    turns = rare.groupBy("rep").agg(in_order.alias("turns"))
     last, done = rare.agg(F.max("place")).first()[0] or 0, 0
     while done < last:
         open_ = cut_lineage(_placed(rare.where(F.col("place") > done), named))
-        heads = open_.where(F.col("place") <= done + _HEADS).select(
+        members = open_.join(turns, "rep")
+        heads = members.where(F.col("place") <= done + _HEADS).select(
             F.col("key").alias("k"), F.col("rep").alias("leader"), F.col("weight").alias("leads"), F.col("component").alias("joined"), F.col("place").alias("before"),
             F.col("ahead").alias("skipped"), F.col("turns").alias("other"))
-        pairs = (open_.join(heads, F.col("key") == F.col("k")).where((F.col("before") < F.col("place")) & (F.col("component") != F.col("joined")) & (_bound() >= similar)
-                                                                         & (F.least(F.col("weight") - F.col("ahead"), F.col("leads") - F.col("skipped")) >= similar / (1 + similar) * (F.col("weight") + F.col("leads")) - 1e-6)
-                                                                         & (F.array_min(F.array_intersect("turns", "other")) == F.col("turn")))
-                 .select("rep", "leader").join(verified, ["rep", "leader"], "left_anti"))
+        enough = F.least(F.col("weight") - F.col("ahead"), F.col("leads") - F.col("skipped")) >= similar / (1 + similar) * (F.col("weight") + F.col("leads")) - 1e-6
+        apart = (F.col("before") < F.col("place")) & (F.col("component") != F.col("joined")) & (_bound() >= similar)
+        first = F.element_at(F.array_intersect("turns", "other"), 1) == F.col("key")
+        pairs = members.join(heads, (F.col("key") == F.col("k")) & apart & enough & first).select("rep", "leader").join(verified, ["rep", "leader"], "left_anti")
         found = cut_lineage(_verified(pairs, bags))
         links = found.where(F.col("similarity") >= similar).select(F.col("rep").alias("a"), F.col("leader").alias("b"))
         if not links.isEmpty():
