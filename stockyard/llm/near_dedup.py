@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockyard.llm.components import components
+from stockyard.llm.components import components, linked
 from stockyard.llm.rows import ROW, numbered, whole
-from stockyard.sources.shared_dir import cut_lineage
+from stockyard.llm.scratch import Scratch
 
 SHINGLE, SIMILAR = 5, 0.8
 #: At a similarity of 0.8 a pair meets in a band with probability 0.9995.
@@ -35,7 +35,7 @@ BANDS, PER_BAND = 25, 6
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 _REMEMBERED = 300_000
-#: Members of a rare shingle's bucket that all others are compared with in one round; the next ones follow in the next round.
+#: Members of a rare shingle's bucket that all others are compared with in the first round; each further round takes twice as many of the next ones.
 _HEADS = 256
 
 
@@ -194,14 +194,29 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return pairs.join(mine, "rep").join(theirs, "leader").select("rep", "leader", "own", "other").mapInArrow(work, "rep long, leader long, similarity double")
 
 
-def _placed(buckets: DataFrame, named: DataFrame | None) -> DataFrame:
+def _links(verified: DataFrame, similar: float) -> DataFrame:
+    return verified.where(F.col("similarity") >= similar).select(F.col("rep").alias("a"), F.col("leader").alias("b"))
+
+
+def _placed(buckets: DataFrame, named: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, with their component."""
-    members = buckets.withColumn("component", F.col("rep")) if named is None else (
-        buckets.join(named, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node"))
+    members = buckets.join(named, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
     mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select(F.col("key").alias("k"))
     return members.join(mixed, F.col("key") == F.col("k"), "left_semi")
 
 
+def _round(left: DataFrame, turns: DataFrame, to: int, similar: float) -> DataFrame:
+    """``rep, leader`` to compare: members of rare-shingle buckets with earlier ones of another component whose place is at most ``to``."""
+    members = left.join(turns, "rep")
+    heads = members.where(F.col("place") <= to).select(
+        F.col("key").alias("k"), F.col("rep").alias("leader"), F.col("weight").alias("leads"), F.col("component").alias("joined"), F.col("place").alias("before"),
+        F.col("ahead").alias("skipped"), F.col("turns").alias("other"))
+    enough = F.least(F.col("weight") - F.col("ahead"), F.col("leads") - F.col("skipped")) >= similar / (1 + similar) * (F.col("weight") + F.col("leads")) - 1e-6
+    apart = (F.col("before") < F.col("place")) & (F.col("component") != F.col("joined")) & (_bound() >= similar)
+    first = F.element_at(F.array_intersect("turns", "other"), 1) == F.col("key")
+    return members.join(heads, (F.col("key") == F.col("k")) & apart & enough & first).select("rep", "leader")
+
+
 def _firsts(buckets: DataFrame) -> DataFrame:
     """Members of the buckets, each with its bucket's first member."""
     first = buckets.groupBy("key").agg(F.min(F.struct("rep", "weight")).alias("f"))
@@ -250,50 +265,41 @@ def _prefixes(reps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR, bands: int = BANDS, per_band: int = PER_BAND, size: int = SHINGLE) -> DataFrame:
     """One row per document: ``__row, doc_id, class_id, class_size, kept``; ``class_id`` is the ``doc_id`` that stays."""
-    signed = cut_lineage(signatures(docs, text, bands, per_band, size))
+    scratch = Scratch(docs.sparkSession)
+    signed = scratch.keep(signatures(docs, text, bands, per_band, size))
     same = signed.groupBy("weight", "one", "two").agg(F.min(ROW).alias("rep"))
-    placed = cut_lineage(signed.select(ROW, "weight", "one", "two").join(same, ["weight", "one", "two"]).select(ROW, "weight", "rep"))
-    reps = signed.join(same.select("rep"), F.col(ROW) == F.col("rep"), "left_semi").where("weight > 0")
+    placed = scratch.keep(signed.select(ROW, "weight", "one", "two").join(same, ["weight", "one", "two"]).select(ROW, "weight", "rep"))
+    reps = signed.join(placed.select("rep").distinct(), F.col(ROW) == F.col("rep"), "left_semi").where("weight > 0")
     key = F.xxhash64("at", "value")
     buckets = reps.select(F.col(ROW).alias("rep"), "weight", F.posexplode("bands").alias("at", "value")).select(key.alias("key"), "rep", "weight")
     shared = buckets.groupBy("key").count().where("count > 1").select("key")
-    buckets = cut_lineage(buckets.join(shared, "key", "left_semi"))
+    met = scratch.keep(buckets.join(shared, "key", "left_semi"))
+    scratch.drop(signed)
 
-    wanted = buckets.select(F.col("rep").alias("w")).distinct()
+    wanted = met.select(F.col("rep").alias("w")).distinct()
     texts = numbered(docs).select(F.col(ROW).alias("row"), whole(F.col(f"`{text}`")).alias("text")).join(wanted, F.col("row") == F.col("w"), "left_semi")
-    bags = cut_lineage(_bags(texts, size))
-
-    members = cut_lineage(_firsts(buckets))
-    verified = cut_lineage(_verified(members.where(_bound() >= similar).select("rep", "leader").distinct(), bags))
-    edges, named = verified.where(F.col("similarity") >= similar).select(F.col("rep").alias("a"), F.col("leader").alias("b")), None
-    if not edges.isEmpty():
-        named = cut_lineage(components(edges))
-    rare = cut_lineage(_prefixes(_open_members(members, verified, similar), bags, similar))
+    bags = scratch.keep(_bags(texts, size))
+
+    members = scratch.keep(_firsts(met))
+    verified = scratch.keep(_verified(members.where(_bound() >= similar).select("rep", "leader").distinct(), bags))
+    named = components(_links(verified, similar), scratch)
+    rare = scratch.keep(_prefixes(_open_members(members, verified, similar), bags, similar))
+    scratch.drop(met, members)
     in_order = F.transform(F.sort_array(F.collect_list(F.struct("count", "key"))), lambda x: x["key"])
-    turns = rare.groupBy("rep").agg(in_order.alias("turns"))
-    last, done = rare.agg(F.max("place")).first()[0] or 0, 0
-    while done < last:
-        open_ = cut_lineage(_placed(rare.where(F.col("place") > done), named))
-        members = open_.join(turns, "rep")
-        heads = members.where(F.col("place") <= done + _HEADS).select(
-            F.col("key").alias("k"), F.col("rep").alias("leader"), F.col("weight").alias("leads"), F.col("component").alias("joined"), F.col("place").alias("before"),
-            F.col("ahead").alias("skipped"), F.col("turns").alias("other"))
-        enough = F.least(F.col("weight") - F.col("ahead"), F.col("leads") - F.col("skipped")) >= similar / (1 + similar) * (F.col("weight") + F.col("leads")) - 1e-6
-        apart = (F.col("before") < F.col("place")) & (F.col("component") != F.col("joined")) & (_bound() >= similar)
-        first = F.element_at(F.array_intersect("turns", "other"), 1) == F.col("key")
-        pairs = members.join(heads, (F.col("key") == F.col("k")) & apart & enough & first).select("rep", "leader").join(verified, ["rep", "leader"], "left_anti")
-        found = cut_lineage(_verified(pairs, bags))
-        links = found.where(F.col("similarity") >= similar).select(F.col("rep").alias("a"), F.col("leader").alias("b"))
-        if not links.isEmpty():
-            edges = cut_lineage(edges.unionByName(links))
-            named = cut_lineage(components(edges))
-        verified, done = cut_lineage(verified.unionByName(found)), done + _HEADS
+    turns = scratch.keep(rare.groupBy("rep").agg(in_order.alias("turns")))
+    done, heads = 0, _HEADS
+    while True:
+        left = scratch.keep(_placed(rare.where(F.col("place") > done), named))
+        if left.isEmpty():
+            break
+        found = scratch.keep(_verified(_round(left, turns, done + heads, similar).join(verified, ["rep", "leader"], "left_anti"), bags))
+        named = linked(named, _links(found, similar), scratch)
+        scratch.drop(left, found)
+        done, heads = done + heads, 2 * heads
+    scratch.drop(left, bags, verified, rare, turns)
 
     rows = numbered(docs).select(ROW, F.col(f"`{doc_id}`").alias("doc_id")).join(placed, ROW)
-    if named is not None:
-        rows = rows.join(named, F.col("rep") == F.col("node"), "left").withColumn("class", F.coalesce("component", "rep"))
-    else:
-        rows = rows.withColumn("class", F.col("rep"))
+    rows = rows.join(named, F.col("rep") == F.col("node"), "left").withColumn("class", F.coalesce("component", "rep"))
     rows = rows.select(ROW, "doc_id", "class")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col(ROW).alias("r"))
     best = rows.groupBy("class").agg(F.min(order).alias("b"), F.count("*").alias("class_size")).select(F.col("class").alias("c"), F.col("b.d").alias("class_id"), F.col("b.r").alias("keeps"), "class_size")
