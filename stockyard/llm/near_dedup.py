@@ -300,9 +300,12 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
 
     rows = numbered(docs).select(ROW, F.col(f"`{doc_id}`").alias("doc_id")).join(placed, ROW)
     rows = rows.join(named, F.col("rep") == F.col("node"), "left").withColumn("class", F.coalesce("component", "rep"))
-    rows = rows.select(ROW, "doc_id", "class")
+    # Stored, so that a class of very many rows is split where its rows meet its first.
+    rows = scratch.keep(rows.select(ROW, "doc_id", "class"))
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col(ROW).alias("r"))
     best = rows.groupBy("class").agg(F.min(order).alias("b"), F.count("*").alias("class_size")).select(F.col("class").alias("c"), F.col("b.d").alias("class_id"), F.col("b.r").alias("keeps"), "class_size")
+    best = scratch.keep(best)
+    scratch.drop(placed, named)
     return rows.join(best, F.col("class") == F.col("c")).select(ROW, "doc_id", "class_id", "class_size", (F.col(ROW) == F.col("keeps")).alias("kept"))
 
 
