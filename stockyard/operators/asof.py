@@ -4,11 +4,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockyard import fixed_values as V
-from stockyard.operators.skew import SALTS, lookup
+from stockyard.operators.skew import lookup
 
 
 def asof_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, date: str, take: dict[str, str],
-              hot: list | None = None, spread: str | None = None, salts: int = SALTS) -> DataFrame:
+              hot: dict | None = None, spread: str | None = None) -> DataFrame:
     """Add to each fact row the ``take`` columns (dimension name -> new name) of the version
     valid on its day, NULL if none is.
 
@@ -21,7 +21,7 @@ def asof_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, date
     versions = dim.select(F.col(dim_key).alias("__key"), starts.alias("__from"), ends.alias("__to"),
                           *[F.col(c).alias(name) for c, name in take.items()]).where("__from < __to")
     valid = (F.col(date) >= F.col("__from")) & (F.col(date) < F.col("__to"))
-    joined = lookup(fact, versions, fact_key, "__key", also=valid, hot=hot, spread=spread, salts=salts)
+    joined = lookup(fact, versions, fact_key, "__key", also=valid, hot=hot, spread=spread)
     return joined.drop("__key", "__from", "__to")
 
 

@@ -1,11 +1,27 @@
 """Keep the latest version of each key."""
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
 
 
+@dataclass(frozen=True)
+class Ranking:
+    """How rows of several loads are ranked against those a table stores, by columns of which it does not store all."""
+
+    table: str  # holds the keys and the ``beside`` columns of the stored rows
+    partition: dict[str, Column]  # its directory column, decided by the key
+    latest: list[str]  # as in ``keep_latest``
+    beside: list[str]  # those of the staged columns that the table lacks
+    stage: Callable[[DataFrame], DataFrame]  # raw rows to the latest staged row per key
+    restage: Callable[[DataFrame], DataFrame]  # stored rows with their ``beside`` columns to staged rows
+    finish: Callable[[DataFrame], DataFrame]  # staged rows to rows of the table
+
+
 def keep_latest(df: DataFrame, keys: list[str], latest: list[str] | None = None) -> DataFrame:
     """One row per key: the greatest by ``latest`` (NULLs lowest), then by the remaining columns.
 

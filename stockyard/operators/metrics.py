@@ -35,16 +35,18 @@ def breach_rate(fact: DataFrame, target_seconds: int, by: list[str]) -> DataFram
 def operator_productivity(fact: DataFrame, lines: DataFrame) -> DataFrame:
     """Picklists, pieces and distinct items per operator and day.
 
-    Lines are reduced to one row per picklist and item before they meet the fact.
+    Lines are reduced to one row per picklist and item before they meet the fact. Picklists and pieces are
+    added up from one row per picklist and items from one row per item, so nothing is counted distinct over expanded rows.
     """
     work = fact.where(F.col("IdSeparador").isNotNull() & F.col("EmSeparacao").isNotNull()).select(
         "CodPickList", F.col("IdSeparador").alias("operator"), F.col("EmSeparacao").cast("date").alias("day"))
     items = lines.groupBy("pick_list_id", "item_code").agg(F.sum("pick_quantity").alias("pieces"))
     joined = work.join(items, F.col("CodPickList") == F.col("pick_list_id"), "left")
-    return joined.groupBy("operator", "day").agg(
-        F.count_distinct("CodPickList").alias("picklists"),
-        F.coalesce(F.sum("pieces"), F.lit(0)).cast("decimal(18,2)").alias("pieces"),
-        F.count_distinct("item_code").alias("items"))
+    by_item = joined.groupBy("operator", "day", "item_code").agg(F.sum("pieces").alias("pieces"))
+    moved = by_item.groupBy("operator", "day").agg(
+        F.coalesce(F.sum("pieces"), F.lit(0)).cast("decimal(18,2)").alias("pieces"), F.count("item_code").alias("items"))
+    done = work.groupBy("operator", "day", "CodPickList").agg(F.lit(1).alias("one")).groupBy("operator", "day").agg(F.count("*").alias("picklists"))
+    return done.join(moved, ["operator", "day"]).select("operator", "day", "picklists", "pieces", "items")
 
 
 AGE_BANDS = ((1, "0-1"), (7, "2-7"), (30, "8-30"))

@@ -5,56 +5,56 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
-HOT_ROWS = 5_000_000
-_SALT, _SALT_RIGHT, _HOT = "__salt", "__salt_right", "__hot"
+_PIECE, _PIECE_RIGHT, _HOT, _PIECES = "__piece", "__piece_right", "__hot", "__pieces"
 
 
-def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[str, list]:
-    """For each column of ``keys``, the values (NULL included) held by ``hot_rows`` rows or more.
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    One narrow pass with map-side counts for all columns together. A column has at most
-    ``rows / hot_rows`` hot values, which bounds what is collected and later broadcast.
+
+def find_hot(df: DataFrame, keys: list[str], tasks: int | None = None) -> dict[str, dict]:
+    """For each column of ``keys``, the values that hold more than one task's fair share of the rows, and how many shares.
+
+    The share is ``rows / tasks`` (``tasks``: the shuffle partitions), so the rule is the same at every size: at most ``tasks`` values
+    of a column are hot and their pieces sum to at most twice ``tasks``, which bounds what is collected and later broadcast.
+    One narrow pass with map-side counts for all columns together. NULL is not listed: ``lookup`` always spreads it.
     """
+    tasks = tasks or _tasks(df)
     held = F.explode(F.array(*[F.struct(F.lit(k).alias("role"), F.col(k).alias("value")) for k in keys])).alias("held")
     counted = df.select(held).groupBy("held.role", "held.value").agg(F.count("*").alias("rows"))
-    hot = {k: [] for k in keys}
-    for role, value in counted.where(F.col("rows") >= hot_rows).select("role", "value").collect():
-        hot[role].append(value)
-    return {k: values for k, values in hot.items() if values}
+    total = counted.groupBy(F.col("role").alias("of")).agg(F.sum("rows").alias("total"))
+    pieces = F.ceil(F.col("rows") * tasks / F.col("total")).cast("int")
+    shares = counted.join(F.broadcast(total), F.col("role") == F.col("of")).select("role", "value", pieces.alias("pieces"))
+    hot = {k: {} for k in keys}
+    for role, value, n in shares.where(F.col("value").isNotNull() & (F.col("pieces") > 1)).collect():
+        hot[role][value] = n
+    return hot
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *,
-           also: Column | None = None, hot: list | None = None, spread: str | None = None,
-           salts: int = SALTS) -> DataFrame:
+           also: Column | None = None, hot: dict | None = None, spread: str | None = None) -> DataFrame:
     """Left join of ``left`` to its few matches in ``right``; every left row stays.
 
     Catalyst broadcasts ``right`` by itself while its estimated or measured size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise, AQE splitting partitions
-    it finds skewed. With ``hot`` keys (see ``find_hot``) the join is salted beforehand: the
-    matches of hot keys are copied to ``salts`` buckets and left rows with a hot or NULL key
-    spread over them by ``spread``. Other keys keep one bucket, so only hot matches are copied.
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise. Rows of a ``hot`` key (see
+    ``find_hot``) are dealt over as many pieces as it holds fair shares, by ``spread``, and its matches are
+    copied to each piece; NULL keys, which match nothing, are dealt over all tasks. Other keys are one piece.
     """
-    match = F.col(left_key) == F.col(right_key)
-    if also is not None:
-        match = match & also
-    if not hot:
-        return left.join(right, match, "left")
-
-    marked = left.sparkSession.createDataFrame([(v,) for v in hot if v is not None], f"{_HOT} {left.schema[left_key].dataType.simpleString()}")
-    buckets = F.pmod(F.xxhash64(F.col(spread or left_key)), F.lit(salts)).cast("int")
-    salted_left = (
-        left.join(F.broadcast(marked), F.col(left_key) == F.col(_HOT), "left")
-        .withColumn(_SALT, F.when(F.col(left_key).isNull() | F.col(_HOT).isNotNull(), buckets).otherwise(F.lit(0)))
-        .drop(_HOT)
-    )
-    copies = F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        right.join(F.broadcast(marked), F.col(right_key) == F.col(_HOT), "left")
-        .withColumn(_SALT_RIGHT, F.explode(copies))
-        .drop(_HOT)
-    )
-    return salted_left.join(salted_right, match & (F.col(_SALT) == F.col(_SALT_RIGHT)), "left").drop(_SALT, _SALT_RIGHT)
+    hot = hot or {}
+    kind = left.schema[left_key].dataType.simpleString()
+    marked = F.broadcast(left.sparkSession.createDataFrame(list(hot.items()), f"{_HOT} {kind}, {_PIECES} int"))
+
+    def cut(df: DataFrame, key: str) -> DataFrame:
+        return df.join(marked, F.col(key) == F.col(_HOT), "left") if hot else df.withColumn(_PIECES, F.lit(None).cast("int"))
+
+    # NULL keys count as pieces of their own, so that they never fill one task.
+    pieces = F.when(F.col(left_key).isNull(), F.lit(_tasks(left))).otherwise(F.coalesce(_PIECES, F.lit(1)))
+    dealt = F.pmod(F.xxhash64(F.col(spread or left_key)), pieces).cast("int")
+    cut_left = cut(left, left_key).withColumn(_PIECE, dealt).drop(_HOT, _PIECES)
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(_PIECES, F.lit(1)) - 1))
+    cut_right = cut(right, right_key).withColumn(_PIECE_RIGHT, copies).drop(_HOT, _PIECES)
+    match = (F.col(left_key) == F.col(right_key)) & (F.col(_PIECE) == F.col(_PIECE_RIGHT))
+    return cut_left.join(cut_right, match if also is None else match & also, "left").drop(_PIECE, _PIECE_RIGHT)
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:

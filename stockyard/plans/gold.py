@@ -77,7 +77,7 @@ def numbered_companies(target: DataFrame, enriched: DataFrame) -> DataFrame:
 
 # --- fact -------------------------------------------------------------------------------------
 
-def line_totals(lines: DataFrame, products: DataFrame, hot_items: list | None = None) -> DataFrame:
+def line_totals(lines: DataFrame, products: DataFrame, hot_items: dict | None = None) -> DataFrame:
     """Distinct items, pieces and gross weight per picklist; an unknown item weighs nothing.
 
     Lines are first reduced to one row per (picklist, item), which also spreads a huge
@@ -117,6 +117,7 @@ def fact_partitions(grain: str) -> dict[str, Column]:
     return {"fk_data_sk": day} if grain == "day" else {"month_sk": F.floor(day / 100).cast("int")}
 
 
+# The columns of the fact's row hash, in order, and those that are not filled in it where NULL.
 FACT_HASH = ["CodPickList", "fk_data_sk", "fk_empresa_sk", "fk_cliente_sk", "CodPedido", "DataPedido", "CodCliente", "Filial",
              "StatusDocumento", "QtdPecas", "QtdSKU", "ProntoParaImpressao", "EmSeparacao", "ProntoParaConferencia",
              "EmConferencia", "Conferido", "Saida", "CodTransp"]
@@ -126,16 +127,19 @@ FACT_HASH_UNFILLED = ("CodPickList", "fk_data_sk", "fk_empresa_sk", "fk_cliente_
 
 def picklist_fact(header: DataFrame, lines: DataFrame, products: DataFrame, companies: DataFrame, customers: DataFrame,
                   calendar: DataFrame, updated_at: str, horizon: str = V.FACT_HORIZON,
-                  hot: dict[str, list] | None = None) -> DataFrame:
+                  hot: dict[str, dict] | None = None) -> DataFrame:
     """One row per picklist from ``horizon`` on, with the branch and customer versions valid that day.
 
     Only four kinds of rows are shuffled: lines (reduced), headers once per lookup that is
     too big to broadcast, and the dimensions' narrow version columns. ``hot`` names hot
-    customers, branches and items (``customer_id``, ``branch_id``, ``item_code``) to salt.
+    customers, branches and items (``customer_id``, ``branch_id``, ``item_code``) to cut into pieces.
+    Lines of picklists before the horizon are left out before they are counted and weighed.
     """
     hot = hot or {}
     recent = header.where(F.col("pick_date") >= F.lit(horizon).cast("date"))
-    facts = with_line_totals(recent, line_totals(lines, products, hot.get("item_code")))
+    wanted = recent.select(F.col("pick_list_id").alias("__wanted"))
+    kept = lines.join(wanted, F.col("pick_list_id") == F.col("__wanted"), "left_semi")
+    facts = with_line_totals(recent, line_totals(kept, products, hot.get("item_code")))
     facts = asof_join(facts, companies, "branch_id", "cod_filial", "pick_date",
                       {"empresa_sk": "empresa_sk", "supervisor": "supervisor"}, hot.get("branch_id"), "pick_list_id")
     facts = asof_join(facts, customers, "customer_id", "customer_id", "pick_date",

@@ -466,6 +466,11 @@ _SELECTS: dict[str, str] = {
     "incremental_window": f"""SELECT pick_list_id, status, update_date FROM header_staged
         WHERE update_date >= TIMESTAMP '{SECOND_LOAD}' - INTERVAL 35 DAY AND update_date <= TIMESTAMP '{SECOND_LOAD}'""",
     "stream_upsert_header": _all("header"),
+    "stream_late_files": _all("header"),
+    "skewed_lookup": """SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, n AS orders_of_status
+FROM orders LEFT JOIN (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1) ON nullif(o_orderstatus, 'P') = s""",
+    "skewed_asof": """WITH l AS (SELECT l_returnflag AS flag, CAST(l_shipdate AS DATE) AS day, count(*) OVER (PARTITION BY l_returnflag, year(l_shipdate)) AS lines_of_year FROM lineitem)
+SELECT flag, lines_of_year, count(*) AS rows, min(day) AS first_day, max(day) AS last_day FROM l GROUP BY flag, lines_of_year""",
 }
 
 

@@ -15,7 +15,7 @@ from stockyard.functions.lookups import branch_size_of, cost_center_of, supervis
 from stockyard.operators import dedup, downtime, metrics, quality, scd2
 from stockyard.operators.asof import asof_join, or_unknown
 from stockyard.operators.keys import assign_surrogate_keys
-from stockyard.operators.skew import find_hot
+from stockyard.operators.skew import find_hot, lookup
 from stockyard.operators.upsert import changed_rows, upsert
 from stockyard.plans import gold, sample_feed as feed, silver
 from stockyard.schemas import empty
@@ -96,11 +96,21 @@ def _company_loads(spark, d):
     return loads[1], loads[3]
 
 
+def _hot_headers(spark, d):
+    """Hot customers and branches, counted on the raw extract in a narrow scan."""
+    return find_hot(feed.opkl(spark, d).select(F.col("U_CodCliente").alias("customer_id"), F.col("U_Filial").alias("branch_id")), ["customer_id", "branch_id"])
+
+
+def _hot_items(spark, d):
+    return find_hot(feed.opkl1(spark, d).select(F.col("ItemCode").alias("item_code")), ["item_code"])
+
+
 def _hot(spark, d):
-    """Hot join keys, counted on the raw extracts: two narrow scans."""
-    headers = feed.opkl(spark, d).select(F.col("U_CodCliente").alias("customer_id"), F.col("U_Filial").alias("branch_id"))
-    items = feed.opkl1(spark, d).select(F.col("ItemCode").alias("item_code"))
-    return {**find_hot(headers, ["customer_id", "branch_id"]), **find_hot(items, ["item_code"])}
+    return {**_hot_headers(spark, d), **_hot_items(spark, d)}
+
+
+def _line_totals(spark, d):
+    return gold.line_totals(_lines(spark, d), _products(spark, d), _hot_items(spark, d)["item_code"])
 
 
 def _dimensions(spark, d):
@@ -236,18 +246,18 @@ def calendar_join(spark, d):
 
 @_query
 def line_weight(spark, d):
-    return gold.line_totals(_lines(spark, d), _products(spark, d)).select("pick_list_id", "PesoBruto")
+    return _line_totals(spark, d).select("pick_list_id", "PesoBruto")
 
 
 @_query
 def lines_per_picklist(spark, d):
-    return gold.line_totals(_lines(spark, d), _products(spark, d)).select("pick_list_id", "QtdSKU", "QtdPecas")
+    return _line_totals(spark, d).select("pick_list_id", "QtdSKU", "QtdPecas")
 
 
 @_query
 def header_with_lines(spark, d):
     header = _header(spark, d).select("pick_list_id", "pick_date", "status")
-    return gold.with_line_totals(header, gold.line_totals(_lines(spark, d), _products(spark, d)))
+    return gold.with_line_totals(header, _line_totals(spark, d))
 
 
 @_query
@@ -390,7 +400,8 @@ def full_refresh(spark, d):
 @_query
 def asof_customer_sk(spark, d):
     header = silver.latest_header(silver.stage_header(feed.opkl(spark, d))).select("pick_list_id", "customer_id", "pick_date")
-    joined = asof_join(header, _customer_loads(spark, d)[1], "customer_id", "customer_id", "pick_date", {"customer_sk": "sk"})
+    joined = asof_join(header, _customer_loads(spark, d)[1], "customer_id", "customer_id", "pick_date", {"customer_sk": "sk"},
+                       _hot_headers(spark, d)["customer_id"], "pick_list_id")
     return joined.select("pick_list_id", "pick_date", or_unknown("sk").alias("customer_sk"))
 
 
@@ -398,10 +409,32 @@ def asof_customer_sk(spark, d):
 def asof_branch_sk(spark, d):
     header = silver.latest_header(silver.stage_header(feed.opkl(spark, d))).select("pick_list_id", "branch_id", "pick_date")
     joined = asof_join(header, _company_loads(spark, d)[1], "branch_id", "cod_filial", "pick_date",
-                       {"empresa_sk": "sk", "supervisor": "supervisor"})
+                       {"empresa_sk": "sk", "supervisor": "supervisor"}, _hot_headers(spark, d)["branch_id"], "pick_list_id")
     return joined.select("pick_list_id", "pick_date", or_unknown("sk").alias("empresa_sk"), "supervisor")
 
 
+@_query
+def skewed_lookup(spark, d):
+    """Orders and the number of orders of their status: two keys hold nearly all rows, the third is NULL."""
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    left = orders.select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"))
+    sizes = orders.groupBy(F.col("o_orderstatus").alias("of")).agg(F.count("*").alias("orders_of_status"))
+    found = lookup(left, sizes, "status", "of", hot=find_hot(left, ["status"])["status"], spread="o_orderkey")
+    return found.select("o_orderkey", "status", "orders_of_status")
+
+
+@_query
+def skewed_asof(spark, d):
+    """Lines and the yearly version of their return flag: every key holds many rows and several versions."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("line"), F.col("l_returnflag").alias("flag"), F.col("l_shipdate").cast("date").alias("day"))
+    start = F.make_date(F.year("day"), F.lit(1), F.lit(1))
+    versions = lines.groupBy(F.col("flag").alias("of"), start.alias("from")).agg(F.count("*").alias("lines")).select(
+        "of", F.col("from").cast("timestamp_ntz").alias("effective_start"), F.add_months("from", 12).cast("timestamp_ntz").alias("effective_end"), "lines")
+    found = asof_join(lines, versions, "flag", "of", "day", {"lines": "lines_of_year"}, find_hot(lines, ["flag"])["flag"], "line")
+    return found.groupBy("flag", "lines_of_year").agg(F.count("*").alias("rows"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
 @_query
 def fact_picklists(spark, d):
     return _fact(spark, d)
@@ -542,17 +575,30 @@ def incremental_window(spark, d):
     return incremental.incremental_window(staged, "update_date", feed.SECOND_LOAD).select("pick_list_id", "status", "update_date")
 
 
-@_query
-def stream_upsert_header(spark, d):
-    """Two file drops through the stream, in the order they were extracted; must equal one batch."""
+def _streamed(spark, d, *drops, ranking=None):
+    """Header table after the drops of the extract went through the stream one by one."""
     raw, bronze_root, lake = feed.opkl(spark, d), _scratch(spark, "bronze"), _scratch(spark, "lake")
-    for drop in (raw.where(F.col("UpdateDate") < feed.SECOND_LOAD), raw.where(F.col("UpdateDate") >= feed.SECOND_LOAD)):
+    for drop in (raw.where(which) for which in drops):
         bronze.write_extract(drop, "OPKL", f"{bronze_root}/OPKL")
         stream = bronze.stream_bronze(spark, "OPKL", bronze_root, pattern="*.csv")
         incremental.upsert_stream(stream, silver.header, lake, "silver.opkl_clean", ["pick_list_id"], f"{lake}/_stream",
-                                  silver.header_partition())
+                                  silver.header_partition(), ranking)
     return tables.read_table(spark, lake, "silver.opkl_clean")
 
 
+@_query
+def stream_upsert_header(spark, d):
+    """Two file drops through the stream, in the order they were extracted; must equal one batch."""
+    changed = F.col("UpdateDate")
+    return _streamed(spark, d, changed < feed.SECOND_LOAD, changed >= feed.SECOND_LOAD)
+
+
+@_query
+def stream_late_files(spark, d):
+    """The newer drop first, the older one late; must equal one batch."""
+    changed = F.col("UpdateDate")
+    return _streamed(spark, d, changed >= feed.SECOND_LOAD, changed < feed.SECOND_LOAD, ranking=silver.header_ranking())
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)

@@ -7,8 +7,9 @@ from stockyard import fixed_values as V
 from stockyard.functions.hashing import row_hash
 from stockyard.functions.lookups import branch_size_of, cost_center_of, supervisor_of
 from stockyard.functions.text import clean_text, extract_code, parse_ts, parse_ts_or_date, repair_decimal
-from stockyard.operators.dedup import keep_latest
+from stockyard.operators.dedup import Ranking, keep_latest
 
+# The columns of each row hash, in order.
 HEADER_HASH = ["pick_date", "status", "order_id", "data_pedido", "customer_id", "branch_id", "separator_id",
                "pronto_impressao", "em_separacao", "pronto_conferencia", "em_conferencia", "conferido", "saida", "cod_transp"]
 LINE_HASH = ["order_id", "item_code", "rel_quantity", "pick_quantity"]
@@ -46,19 +47,40 @@ def stage_header(raw: DataFrame, *extra_formats: str) -> DataFrame:
     )
 
 
+HEADER_RANK = ["update_date", "pick_ts"]
+# The staged columns that the header table stores as they are.
+HEADER_KEPT = ["status", "order_id", "data_pedido", "customer_id", "branch_id", "separator_id", "pronto_impressao",
+               "em_separacao", "pronto_conferencia", "em_conferencia", "conferido", "saida", "cod_transp"]
+
+
+def header_versions(staged: DataFrame) -> DataFrame:
+    """Latest staged row per picklist among rows with a readable date."""
+    return keep_latest(staged.where(F.col("pick_ts").isNotNull()), ["pick_list_id"], HEADER_RANK)
+
+
+def _header_rows(latest: DataFrame) -> DataFrame:
+    return latest.select("pick_list_id", F.col("pick_ts").cast("date").alias("pick_date"), *HEADER_KEPT, F.col("pick_ts").alias("created_at"))
+
+
+def _hashed_header(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("row_hash", row_hash(rows, HEADER_HASH))
+
+
 def latest_header(staged: DataFrame) -> DataFrame:
-    """Latest version per picklist among rows with a readable date."""
-    dated = staged.where(F.col("pick_ts").isNotNull())
-    latest = keep_latest(dated, ["pick_list_id"], ["update_date", "pick_ts"])
-    kept = ["status", "order_id", "data_pedido", "customer_id", "branch_id", "separator_id", "pronto_impressao",
-            "em_separacao", "pronto_conferencia", "em_conferencia", "conferido", "saida", "cod_transp"]
-    return latest.select("pick_list_id", F.col("pick_ts").cast("date").alias("pick_date"), *kept,
-                         F.col("pick_ts").alias("created_at"))
+    """Latest version per picklist among rows with a readable date, in the table's columns."""
+    return _header_rows(header_versions(staged))
 
 
 def header(raw: DataFrame, *extra_formats: str) -> DataFrame:
-    latest = latest_header(stage_header(raw, *extra_formats))
-    return latest.withColumn("row_hash", row_hash(latest, HEADER_HASH))
+    return _hashed_header(latest_header(stage_header(raw, *extra_formats)))
+
+
+def header_ranking() -> Ranking:
+    """Headers of several files: the latest change counts, whatever the order of the files."""
+    return Ranking("silver.opkl_versions", line_partition(), HEADER_RANK, ["update_date"],
+                   stage=lambda raw: header_versions(stage_header(raw)),
+                   restage=lambda stored: stored.select("pick_list_id", F.col("created_at").alias("pick_ts"), *HEADER_KEPT, "update_date"),
+                   finish=lambda latest: _hashed_header(_header_rows(latest)))
 
 
 def header_rejects(raw: DataFrame, *extra_formats: str) -> DataFrame:
@@ -94,9 +116,10 @@ def header_partition() -> dict[str, Column]:
     return {"pick_month": (F.year("pick_date") * 100 + F.month("pick_date")).cast("int")}
 
 
-def line_partition(ids: int = 1_000_000) -> dict[str, Column]:
-    """Range of picklist ids, which the source numbers in sequence; other ids share one partition."""
-    return {"id_range": F.floor(F.col("pick_list_id").try_cast("bigint") / ids).cast("bigint")}
+def line_partition(ids: int = 1_000_000, others: int = 1024) -> dict[str, Column]:
+    """Range of picklist ids, which the source numbers in sequence; other ids are dealt over ``others`` partitions below zero."""
+    numbered = F.floor(F.col("pick_list_id").try_cast("bigint") / ids).cast("bigint")
+    return {"id_range": F.coalesce(numbered, -1 - F.pmod(F.xxhash64("pick_list_id"), F.lit(others)))}
 
 
 # --- products --------------------------------------------------------------------------------

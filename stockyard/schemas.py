@@ -57,6 +57,7 @@ _DDL = {
     "gold.dim_empresas": f"empresa_sk BIGINT, {_COMPANY}",
     "gold.dim_filiais_horarios": _HOURS,
     "gold.dim_data": _DIM_DATA,
+    "silver.opkl_versions": "pick_list_id STRING, update_date TIMESTAMP_NTZ, row_hash STRING",
     "gold.fact_picklists":
         "CodPickList STRING, DataPickList TIMESTAMP_NTZ, CodPedido STRING, DataPedido TIMESTAMP_NTZ, NF STRING, "
         "DataNota TIMESTAMP_NTZ, DocNumNF STRING, Volume BIGINT, PesoBruto DECIMAL(18,4), CodCliente STRING, "

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockyard import fixed_values as V
-from stockyard.operators.dedup import require_unique
+from stockyard.operators.dedup import Ranking, keep_latest, require_unique
 from stockyard.operators.upsert import upsert
+from stockyard.sources.shared_dir import cut_lineage
 from stockyard.sources.tables import merge_touched, publish, read_table
 
 
@@ -18,20 +19,33 @@ def incremental_window(df: DataFrame, changed_at: str, as_of: str | Column, days
 
 
 def upsert_stream(raw: DataFrame, clean: Callable[[DataFrame], DataFrame], lake: str, table: str, keys: list[str],
-                  checkpoint: str, partition: dict[str, Column] | None = None) -> None:
+                  checkpoint: str, partition: dict[str, Column] | None = None, ranking: Ranking | None = None) -> None:
     """Drain a raw file stream into ``lake``: each micro-batch is cleaned and upserted.
 
     With ``partition`` (one directory column) a batch rewrites only the partitions it changes,
     otherwise the table gets a new version per batch. A batch replayed after a failure meets its own rows and the hash guard leaves them alone,
-    so the sink is idempotent. Files are taken in the order they arrived; the last one wins.
+    so the sink is idempotent. Files are taken in the order they arrived. Without ``ranking`` the last one wins;
+    with it a stored row gives way only to one that ranks higher, so late files change nothing they should not.
+    A stored row without ranking columns (loaded otherwise) ranks lowest.
     """
-    def load(batch: DataFrame, _batch_id: int) -> None:
-        source = clean(batch)
-        if partition:
-            (part, value), = partition.items()
-            merge_touched(require_unique(source, keys), lake, table, keys, part, value)
+    def store(source: DataFrame, name: str, by: dict[str, Column] | None) -> None:
+        if by:
+            (part, value), = by.items()
+            merge_touched(require_unique(source, keys), lake, name, keys, part, value)
         else:
-            publish(upsert(read_table(batch.sparkSession, lake, table), source, keys), lake, table)
+            publish(upsert(read_table(source.sparkSession, lake, name), source, keys), lake, name)
+
+    def load(batch: DataFrame, _batch_id: int) -> None:
+        if ranking is None:
+            store(clean(batch), table, partition)
+            return
+        spark, fresh = batch.sparkSession, cut_lineage(ranking.stage(batch))
+        known = read_table(spark, lake, table).join(fresh.select(*keys), keys, "left_semi")
+        known = known.join(read_table(spark, lake, ranking.table).select(*keys, *ranking.beside), keys, "left")
+        latest = cut_lineage(keep_latest(fresh.unionByName(ranking.restage(known)), keys, ranking.latest))
+        # The rows first: a batch cut off in between is played again, and its rows still rank above what it stored.
+        store(ranking.finish(latest), table, partition)
+        store(latest.select(*keys, *ranking.beside, F.xxhash64(*ranking.beside).cast("string").alias("row_hash")), ranking.table, ranking.partition)
 
     query = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -99,8 +99,8 @@ def test_late_rows_can_be_rejected(rows):
 def test_asof_golden(rows, walk):
     want = {("2025-07-01", 0, 5, 0), ("2026-01-15", 1, 5, 0), ("2026-02-09", 1, 5, 0), ("2026-02-10", 3, 5, 0), ("2026-03-01", 3, 5, 0)}
     facts = rows("n INT, day DATE, c STRING", *[(i, day[0], c) for i, day in enumerate(sorted(want)) for c in ("C1", "C2", "C9", None)])
-    for hot in (None, ["C1", None]):
-        joined = asof_join(facts, walk, "c", "id", "day", {"sk": "found"}, hot=hot, spread="n", salts=3).select("day", "c", or_unknown("found"))
+    for hot in (None, {"C1": 3}):
+        joined = asof_join(facts, walk, "c", "id", "day", {"sk": "found"}, hot=hot, spread="n").select("day", "c", or_unknown("found"))
         assert joined.count() == facts.count()
         got = {}
         for day, c, sk in joined.collect():

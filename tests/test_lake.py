@@ -88,7 +88,7 @@ def lake(spark, tmp_path_factory):
         return tables.read_table(spark, out, name)
 
     reports = [{tuple(r) for r in run(DAY1).collect()}]
-    first = {t: as_set(table(t)) for t in schemas.tables() if t.split(".")[1] not in ("dim_operador", "dim_transportadora")}
+    first = {t: as_set(table(t)) for t in schemas.tables() if t.split(".")[1] not in ("dim_operador", "dim_transportadora", "opkl_versions")}
     reports.append({tuple(r) for r in run(DAY1).collect()})
     again = {t: as_set(table(t)) for t in first}
     drop(spark, raw, "OCRD", customers("Ana Maria", "2026-02-01 15:00:00"), "20260210_060000")
@@ -177,7 +177,7 @@ def test_hash_decides_what_is_refreshed(spark, lake):
 def test_fact_plan_has_no_nested_loops(lake):
     t = lake["table"]
     df = gold.picklist_fact(t("silver.opkl_clean"), t("silver.opkl1_clean"), t("gold.dim_produto"), t("silver.dim_empresas"),
-                            t("silver.dim_cliente_scd"), t("gold.dim_data"), DAY2, hot={"customer_id": ["C1", None]})
+                            t("silver.dim_cliente_scd"), t("gold.dim_data"), DAY2, hot={"customer_id": {"C1": 3}})
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
@@ -224,6 +224,28 @@ def test_stream_of_two_drops_equals_one_batch(spark, tmp_path, by_month):
     assert len(drain()) == batch.count() + 1
 
 
+def test_stream_ranks_late_files(spark, tmp_path):
+    raw, out = f"{tmp_path}/raw", f"{tmp_path}/lake"
+    drops = [[header_row("1", status="C", update="2026-01-12 00:00:00"), header_row("2", update=None)],
+             [header_row("1", status="P", update="2026-01-11 00:00:00"), header_row("2", status="P", update="2026-01-01 00:00:00"), header_row("3")],
+             [header_row("1", status="A", update="2026-01-12 00:00:00", date="2026-02-01"), header_row("3", status="Z", update="2026-01-10 11:00:00")]]
+    for number, data in enumerate(drops):
+        drop(spark, raw, "OPKL", data, f"2026010{number + 1}_000000")
+        incremental.upsert_stream(bronze.stream_bronze(spark, "OPKL", raw, files_per_trigger=1), silver.header, out, "silver.opkl_clean",
+                                  ["pick_list_id"], f"{out}/checkpoint", silver.header_partition(), silver.header_ranking())
+    batch = schemas.conform(silver.header(bronze.read_bronze(spark, "OPKL", raw)), "silver.opkl_clean")
+    stored = tables.read_table(spark, out, "silver.opkl_clean")
+    assert as_set(stored) == as_set(batch) and stored.count() == 3
+    assert as_set(stored, "pick_list_id", "status") == {("1", "A"), ("2", "P"), ("3", "Z")}
+
+
+def test_other_ids_are_spread(spark):
+    (name, part), = silver.line_partition(others=16).items()
+    ids = spark.range(400).select(F.concat(F.lit("x"), "id").alias("pick_list_id")).union(spark.range(3).selectExpr("string(id)"))
+    found = {r[0]: r[1] for r in ids.groupBy(part.alias(name)).count().collect()}
+    assert found[0] == 3 and len(found) == 17 and min(found) == -16
+
+
 def test_incremental_window(rows):
     df = rows("k INT, at TIMESTAMP_NTZ", (1, "2026-01-31 00:00:00"), (2, "2026-01-01 00:00:00"), (3, "2025-12-26 23:59:59"), (4, "2026-02-01 00:00:00"), (5, None))
     assert as_set(incremental.incremental_window(df, "at", "2026-01-31 00:00:00"), "k") == {(1,), (2,)}

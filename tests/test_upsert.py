@@ -99,10 +99,11 @@ def test_salted_lookup_equals_plain(spark, threshold):
     try:
         left = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
         right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("unused", 4)], "r STRING, v INT")
-        hot = find_hot(left, ["key"], 100)
-        assert sorted(hot["key"], key=str) == [None, "hot"]
-        plain = lookup(left, right, "key", "r")
-        salted = lookup(left, right, "key", "r", hot=hot["key"], spread="id", salts=5)
+        hot = find_hot(left, ["key"], 6)
+        assert hot == {"key": {"hot": 2}}        # a third of 900 rows is two of six shares
+        assert find_hot(left.where("false"), ["key"]) == {"key": {}}
+        plain = left.join(right, F.col("key") == F.col("r"), "left")
+        salted = lookup(left, right, "key", "r", hot=hot["key"], spread="id")
         assert salted.columns == plain.columns
         assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     finally:
