@@ -71,9 +71,13 @@ def syncmers(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]
 def fingerprint(text: str, k: int = K, s: int = S, size: int = SKETCH) -> str:
     """The ``size`` smallest distinct 32-bit hashes of the anchors, ascending, eight hex digits each."""
     hashes = (syncmers(text, k, s)[1] >> np.uint64(32)).astype(np.uint32)
-    if len(hashes) > 4 * size:
-        hashes = hashes[hashes <= np.partition(hashes, 4 * size - 1)[4 * size - 1]] if len(np.unique(hashes[: 4 * size])) > size else hashes
-    return np.unique(hashes)[:size].astype(">u4").tobytes().hex()
+    least = hashes
+    if len(hashes) > 4 * size:  # the smallest alone, repeats counted; they do if enough of them are distinct
+        least = hashes[hashes <= np.partition(hashes, 4 * size - 1)[4 * size - 1]]
+    distinct = np.unique(least)
+    if len(distinct) < size and len(least) < len(hashes):
+        distinct = np.unique(hashes)
+    return distinct[:size].astype(">u4").tobytes().hex()
 
 
 def likeness(one: str, other: str, size: int = SKETCH) -> float:

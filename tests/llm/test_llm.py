@@ -71,6 +71,16 @@ def test_mixing(docs, plain, empty):
     assert run(empty).count() == 0
 
 
+@pytest.mark.parametrize("repeats", [10, 100, 600])
+def test_fingerprint_of_a_repeated_passage(repeats):
+    rng = random.Random(repeats)
+    passage = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(1000))
+    own = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(3000))
+    for text in (passage * repeats, own + passage * repeats):
+        want = sorted({int(h) >> 32 for h in fingerprint.syncmers(text)[1].tolist()})[:128]
+        assert len(want) == 128 and fingerprint.fingerprint(text) == "".join(f"{h:08x}" for h in want)
+
+
 def test_fingerprints(docs, plain, empty):
     judge = lambda rows: ({"doc_id": d, "a": t, "b": n} for d, t, n in rows)
     got = [(r.doc_id, r.a, r.b) for r in fingerprint.beside_next(docs, judge, "doc_id long, a string, b string").collect()]
