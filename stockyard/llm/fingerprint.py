@@ -9,6 +9,7 @@ Defined results: NULL is an empty text; the empty text has the empty fingerprint
 text shorter than 3 k, k is a third of its length; repeated rows are texts of their own; extra columns are not touched.
 """
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.llm.rows import ROW, numbered, whole
+from stockyard.sources.shared_dir import cut_lineage
 
 K, S, SKETCH = 16, 8, 128
 
@@ -102,33 +104,25 @@ def anchors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def beside_next(docs: DataFrame, judge, schema: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows that ``judge(rows)`` yields from each document with the next one, by descending ``doc_id`` (NULL last); after the last comes the first.
 
-    ``judge`` gets an iterator of ``(doc_id, text, next_text)``. Documents are dealt once into runs of neighbouring ids, of
-    about equal counts; a run also gets the first document of the following run. A task holds two documents at a time.
-    Per run one count and one row number reach the driver; the number of runs is four a shuffle partition.
+    ``judge`` gets an iterator of ``(doc_id, text, next_text)``. Documents are dealt once into runs of neighbours, of
+    about equal counts whatever the ids are: the borders are those of ranges of (id, row), so rows of one id may lie in several runs. A run
+    also gets the first document of the following run. A task holds two documents at a time.
+    Per run its first place reaches the driver; the number of runs is four a shuffle partition.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = numbered(docs).select(ROW, F.col(f"`{doc_id}`").cast("long").alias("id"), whole(F.col(f"`{text}`")).alias("text"))
-    low, high, rows = base.agg(F.min("id"), F.max("id"), F.count("id")).first()
-    if low is None:
-        runs, run = 1, F.lit(0)
-    else:
-        # Cells of equal width, then runs of whole cells with about equal counts.
-        cells, span = 64 * parts, high - low + 1
-        cell = F.floor((F.lit(high) - F.col("id")) * F.lit(cells) / F.lit(span)).cast("int")
-        counts = {r[0]: r[1] for r in base.where("id is not null").groupBy(cell.alias("c")).count().collect()}
-        share, seen, of = max(1, rows / (4 * parts)), 0, []
-        for c in range(cells + 1):
-            of.append(int(seen / share))
-            seen += counts.get(c, 0)
-        dense = {b: i for i, b in enumerate(sorted(set(of)))}
-        of = [dense[b] for b in of]
-        runs = len(dense)
-        run = F.coalesce(F.element_at(F.array(*[F.lit(b) for b in of]), cell + 1), F.lit(runs))
-    placed = base.withColumn("run", run)
-    first = {r["run"]: r["h"][1] for r in placed.groupBy("run").agg(F.min(F.struct((-F.col("id")).alias("i"), F.col(ROW).alias("r"))).alias("h")).collect()}
-    order = sorted(first)
-    before = {first[b]: order[i - 1] for i, b in enumerate(order)}
+    # By descending id, NULL last, then row; the complement turns the order of ids without overflow.
+    place = [F.col("id").isNull().alias("none"), F.coalesce(F.bitwise_not("id"), F.lit(0).cast("long")).alias("turned"), F.col(ROW)]
+    ranges = cut_lineage(base.select(*place).repartitionByRange(4 * parts, "none", "turned", ROW))
+    firsts = sorted(tuple(r["h"]) for r in ranges.groupBy(F.spark_partition_id()).agg(F.min(F.struct("none", "turned", ROW)).alias("h")).collect())
+
+    @F.pandas_udf("int")
+    def of(none: pd.Series, turned: pd.Series, row: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(firsts, key) - 1 for key in zip(none.tolist(), turned.tolist(), row.tolist())], dtype="int32")
+
+    placed = base.withColumn("run", of(*place))
+    before = {first[2]: (i or len(firsts)) - 1 for i, first in enumerate(firsts)}
     heads = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else F.create_map(F.lit(-1).cast("long"), F.lit(0))
     also = F.element_at(heads, F.col(ROW))
     twice = placed.select("id", "text", ROW, F.explode(F.filter(F.array(F.struct(F.col("run"), F.lit(False).alias("after")), F.struct(also.alias("run"), F.lit(True).alias("after"))), lambda x: x["run"].isNotNull())).alias("at"))

@@ -81,6 +81,18 @@ def test_fingerprint_of_a_repeated_passage(repeats):
         assert len(want) == 128 and fingerprint.fingerprint(text) == "".join(f"{h:08x}" for h in want)
 
 
+@pytest.mark.parametrize("ids", [[*range(400), 10**12], [-2**63, 2**63 - 1, *range(10**15, 10**15 + 400)], [7] * 400])
+def test_runs_of_neighbours_are_even_for_any_ids(spark, tmp_path, ids):
+    from pyspark import TaskContext
+    spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    judge = lambda rows: ({"doc_id": d, "a": t, "b": n, "task": TaskContext.get().partitionId()} for d, t, n in rows)
+    read = spark.read.parquet(str(tmp_path / "d"))
+    got = fingerprint.beside_next(read, judge, "doc_id long, a string, b string, task long").collect()
+    order = [r.text for r in sorted(read.withColumn("row", F.monotonically_increasing_id()).collect(), key=lambda r: (-r.doc_id, r.row))]
+    assert {r.a: r.b for r in got} == dict(zip(order, order[1:] + order[:1])) and len(got) == len(ids)
+    assert max(Counter(r.task for r in got).values()) < 0.9 * len(ids)
+
+
 def test_fingerprints(docs, plain, empty):
     judge = lambda rows: ({"doc_id": d, "a": t, "b": n} for d, t, n in rows)
     got = [(r.doc_id, r.a, r.b) for r in fingerprint.beside_next(docs, judge, "doc_id long, a string, b string").collect()]
