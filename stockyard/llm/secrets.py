@@ -2,7 +2,8 @@
 
 For every candidate string a window slides over it; the counts of its characters, and with them its Shannon entropy, are
 kept up by one step down and one step up per move. A window counts if its entropy reaches the limit of
-its character class, the narrowest class that holds the whole candidate. Overlapping windows form one span.
+its character class, the narrowest class that holds the whole candidate. Runs of a narrower class inside a candidate
+are candidates too, so a hex secret joined to a word is held to the limit of hex. Overlapping windows form one span.
 An allow-list takes out candidates that look random but are not secret.
 
 Defined results: NULL and empty texts have no spans; positions are code points of the whole text, ends exclusive; repeated rows are texts of their own;
@@ -32,6 +33,8 @@ WINDOW = 20
 #: Character classes from narrow to wide, with the entropy in bits per character that a window has to reach.
 CLASSES = ((re.compile(r"[0-9]+"), math.inf), (re.compile(r"[0-9a-f]+|[0-9A-F]+"), 3.0), (re.compile(r"[0-9A-Za-z]+"), 3.6), (re.compile(r"[0-9A-Za-z+/=_-]+"), 3.8))
 _CANDIDATE = re.compile(r"[0-9A-Za-z+/=_-]{%d,}" % WINDOW)
+#: Runs inside a candidate that are candidates of a narrower class.
+_RUNS = tuple(re.compile(r"%s{%d,}" % (c, WINDOW)) for c in ("[0-9a-f]", "[0-9A-F]", "[0-9A-Za-z]"))
 #: Not secret: UUIDs, dates and versions in file-like names, words joined by marks, letters with a trailing number.
 ALLOWED = tuple(re.compile(p) for p in (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[A-Za-z]+([+/=_-][A-Za-z]+)*[+/=_-]*", r"([A-Za-z]+[+/=_-])*[A-Za-z]+[-_]?[0-9]{1,6}",
@@ -53,8 +56,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def entropy_spans(candidate: str, allowed=ALLOWED) -> list[tuple[int, int]]:
-    """Spans of a candidate whose windows reach the limit of its class."""
+def _window_spans(candidate: str, allowed) -> list[tuple[int, int]]:
+    """Spans of a string of one class whose windows reach the limit of that class."""
     if not any(c.isdigit() for c in candidate) or any(p.fullmatch(candidate) for p in allowed):
         return []
     limit = next((bits for p, bits in CLASSES if p.fullmatch(candidate)), math.inf)
@@ -64,14 +67,14 @@ def entropy_spans(candidate: str, allowed=ALLOWED) -> list[tuple[int, int]]:
     summed, spans = 0.0, []  # summed: of n log n over the window's characters
     need = math.log2(WINDOW) - limit + 1e-9
     for i, c in enumerate(candidate):
-        n = counts.get(c, 0)
-        summed += _N_LOG_N[n + 1] - _N_LOG_N[n]
-        counts[c] = n + 1
         if i >= WINDOW:
             gone = candidate[i - WINDOW]
             n = counts[gone]
             summed += _N_LOG_N[n - 1] - _N_LOG_N[n]
             counts[gone] = n - 1
+        n = counts.get(c, 0)
+        summed += _N_LOG_N[n + 1] - _N_LOG_N[n]
+        counts[c] = n + 1
         if i >= WINDOW - 1 and summed / WINDOW <= need:
             if spans and spans[-1][1] >= i - WINDOW + 1:
                 spans[-1] = spans[-1][0], i + 1
@@ -80,6 +83,20 @@ def entropy_spans(candidate: str, allowed=ALLOWED) -> list[tuple[int, int]]:
     return spans
 
 
+def entropy_spans(candidate: str, allowed=ALLOWED) -> list[tuple[int, int]]:
+    """Spans of a candidate whose windows reach the limit of its class, or of the class of a run that holds them."""
+    if not any(c.isdigit() for c in candidate) or any(p.fullmatch(candidate) for p in allowed):
+        return []
+    pieces = {(0, len(candidate))} | {m.span() for runs in _RUNS for m in runs.finditer(candidate)}
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted((lo + a, lo + b) for lo, hi in pieces for a, b in _window_spans(candidate[lo:hi], allowed)):
+        if spans and spans[-1][1] >= a:
+            spans[-1] = spans[-1][0], max(spans[-1][1], b)
+        else:
+            spans.append((a, b))
+    return spans
+
+
 def secret_spans(text: str, allowed=ALLOWED) -> list[tuple[int, int, int]]:
     """All spans, known shapes and uneven strings, by start and kind."""
     found = base_spans(text)

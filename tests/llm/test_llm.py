@@ -158,6 +158,21 @@ def test_bag_min_hash_estimates_weighted_jaccard():
     assert abs((signed[0] == signed[1]).mean() - want) < 0.04
 
 
+@pytest.mark.parametrize("digits", ["0123456789abcdef", "0123456789ABCDEF"])
+@pytest.mark.parametrize("prefix", ["key-", "api/", "SIG_", "sig=", "sk_live_", "x", "Z9+"])
+def test_prefixed_hex_is_held_to_the_limit_of_hex(prefix, digits):
+    rng = random.Random(3)
+    for length in (20, 24, 28, 32, 40, 64):
+        for _ in range(20):
+            secret = "".join(rng.choice(digits) for _ in range(length))
+            alone = [(len(prefix) + a, len(prefix) + b) for a, b in secrets.entropy_spans(secret)]
+            for text in (prefix + secret, prefix + secret + "/end"):
+                got = secrets.entropy_spans(text)
+                assert all(any(a <= x and y <= b for a, b in got) for x, y in alone)
+    for plain_text in ("path/to/internationalization/v2/page", "some_long_identifier_of_words_2024", "a1" + "x" * 30):
+        assert not secrets.entropy_spans(plain_text)
+
+
 def test_secret_spans(docs, plain):
     texts = [t for _, t, *_ in plain] + ["API-key api_key = 'AbC12345' AKIAABCDEFGHIJKL12 " + "0123456789abcdef" * 2, "ſecret=abcdefgh12 toKen=abcdefgh12", "id 123e4567-e89b-12d3-a456-426614174000 q8Zk1Lm0Pz7Xc4Vb9Nh2 averyverylongwordwithoutdigits"]
     for t in texts:
