@@ -103,13 +103,8 @@ def _last_time(times: DataFrame, budget: int, rows: int) -> float:
         low, high = start, crossed["__to"]
 
 
-def mix_rows(docs: DataFrame, source, size, order, weights=(1, 2, 3), max_epochs: int = 3, seed: int = 1, keep=()) -> DataFrame:
-    """One narrow row per document of ``docs``: its number, source, size, target and how often the mix takes it.
-
-    ``source``, ``size`` and ``order`` are columns; ``order`` (an id) with ``seed`` decides a document's place
-    in the shuffle. ``keep`` are further columns to carry. Texts are read once and not shuffled; the queue, a few numbers a row,
-    is written to the shared folder.
-    """
+def _queued(docs: DataFrame, source, size, order, weights, max_epochs: int, seed: int, keep) -> tuple[DataFrame, float]:
+    """A row per document with what its finish times follow from, and the last time within the budget."""
     queue = cut_lineage(numbered(docs).select(
         ROW, source.alias("__source"), F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).alias("__size"),
         F.xxhash64(F.lit(seed), order).alias("__place"), *keep))
@@ -118,14 +113,31 @@ def mix_rows(docs: DataFrame, source, size, order, weights=(1, 2, 3), max_epochs
     timed = cut_lineage(_finish_times(queue, targets, rows))
     budget = queue.agg(F.sum("__size")).first()[0] or 0
     times = (timed.where(F.col("__size") > 0).select("__size", F.explode(F.array(*[_time(e) for e in range(max_epochs)])).alias("__time")).where(F.col("__time").isNotNull()))
-    last = _last_time(times, budget, rows)
+    return timed, _last_time(times, budget, rows)
+
+
+def mix_rows(docs: DataFrame, source, size, order, weights=(1, 2, 3), max_epochs: int = 3, seed: int = 1, keep=()) -> DataFrame:
+    """One narrow row per document of ``docs``: its number, source, size, target and how often the mix takes it.
+
+    ``source``, ``size`` and ``order`` are columns; ``order`` (an id) with ``seed`` decides a document's place
+    in the shuffle. ``keep`` are further columns to carry. Texts are read once and not shuffled; the queue, a few numbers a row,
+    is written to the shared folder. The rows are in no order.
+    """
+    timed, last = _queued(docs, source, size, order, weights, max_epochs, seed, keep)
     copies = sum((F.when(_time(e) <= last, 1).otherwise(0) for e in range(max_epochs)), F.lit(0))
+    carried = timed.columns[timed.columns.index("__place") + 1:timed.columns.index("__upto")]
     return timed.select(ROW, F.col("__source").alias("source"), F.col("__size").alias("size"), "source_size", "target", copies.alias("copies"),
-                        (copies * F.col("__size")).cast("long").alias("taken"), *[c for c in queue.columns if c not in (ROW, "__source", "__size", "__place")])
+                        (copies * F.col("__size")).cast("long").alias("taken"), *carried)
 
 
-def mix(docs: DataFrame, source, size, order, **options) -> DataFrame:
-    """``docs`` as mixed: every document as often as the mix takes it, all columns as they were."""
-    taken = mix_rows(docs, source, size, order, **options).where(F.col("copies") > 0).select(ROW, F.col("copies").alias("__copies"))
-    repeated = numbered(docs).join(taken, ROW).withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+def mix(docs: DataFrame, source, size, order, weights=(1, 2, 3), max_epochs: int = 3, seed: int = 1) -> DataFrame:
+    """``docs`` as mixed: every document as often as the mix takes it, all columns as they were, by finish time.
+
+    Partitions are ranges of the finish times, in order, and sorted inside; equal times go by row number.
+    """
+    timed, last = _queued(docs, source, size, order, weights, max_epochs, seed, ())
+    turns = F.filter(F.array(*[F.struct(_time(e).alias("time"), F.lit(e).alias("epoch")) for e in range(max_epochs)]), lambda t: t["time"] <= last)
+    taken = timed.select(ROW, turns.alias("__turns")).where(F.size("__turns") > 0)
+    place = [F.col("__turn.time"), F.col(ROW), F.col("__turn.epoch")]
+    repeated = numbered(docs).join(taken, ROW).withColumn("__turn", F.explode("__turns")).drop("__turns")
+    return repeated.repartitionByRange(*place).sortWithinPartitions(*place).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -72,6 +72,17 @@ def test_mixing(docs, plain, empty):
 
 
 @pytest.mark.parametrize("repeats", [10, 100, 600])
+def test_mix_is_in_order_of_finish_times(docs, plain):
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    rows = mixing.mix_rows(docs, F.col("source"), size, F.col("doc_id"), keep=[F.xxhash64(F.lit(1), "doc_id").alias("place"), F.col("doc_id")]).collect()
+    upto, want = defaultdict(int), []
+    for r in sorted(rows, key=lambda r: (r.place % 2**64, r["__row"])):
+        upto[r.source] += r["size"]
+        want += [((upto[r.source] + e * r.source_size) / r.target, r["__row"], e, r.doc_id) for e in range(r.copies)]
+    got = [r.doc_id for r in mixing.mix(docs, F.col("source"), size, F.col("doc_id")).collect()]
+    assert max(r.copies for r in rows) > 1 and got == [d for *_, d in sorted(want, key=lambda t: t[:3])]
+
+
 def test_fingerprint_of_a_repeated_passage(repeats):
     rng = random.Random(repeats)
     passage = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(1000))
