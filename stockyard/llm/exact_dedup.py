@@ -2,7 +2,8 @@
 
 A text whose length, or whose length and prefix hash, no other text shares is settled without its whole
 content; only groups that survive both steps are compared by SHA-256 of the whole normalised text.
-All steps after the one scan move a few numbers per document, never texts.
+Only those texts are hashed then, in a second scan joined with the rows that survive; with ``hash_all`` every
+text is hashed in the first scan, which leaves a few numbers per document to move and no texts.
 
 Defined results: NULL and empty texts are equal; of repeated rows that tie in everything one stays; an
 empty table gives an empty result. Columns of the input are not touched.
@@ -59,5 +60,5 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that do not stay; all columns as they were."""
-    dropped = duplicate_groups(docs, doc_id, text, hash_all=True).where(~F.col("kept")).select(ROW)
+    dropped = duplicate_groups(docs, doc_id, text).where(~F.col("kept")).select(ROW)
     return numbered(docs).join(dropped, ROW, "left_anti").drop(ROW)

@@ -71,7 +71,6 @@ def test_mixing(docs, plain, empty):
     assert run(empty).count() == 0
 
 
-@pytest.mark.parametrize("repeats", [10, 100, 600])
 def test_mix_is_in_order_of_finish_times(docs, plain):
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     rows = mixing.mix_rows(docs, F.col("source"), size, F.col("doc_id"), keep=[F.xxhash64(F.lit(1), "doc_id").alias("place"), F.col("doc_id")]).collect()
@@ -83,6 +82,7 @@ def test_mix_is_in_order_of_finish_times(docs, plain):
     assert max(r.copies for r in rows) > 1 and got == [d for *_, d in sorted(want, key=lambda t: t[:3])]
 
 
+@pytest.mark.parametrize("repeats", [10, 100, 600])
 def test_fingerprint_of_a_repeated_passage(repeats):
     rng = random.Random(repeats)
     passage = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(1000))
@@ -139,6 +139,19 @@ def test_exact_dedup(docs, plain, empty, hash_all):
     assert exact_dedup.duplicate_groups(empty).count() == 0
 
 
+def test_drop_duplicates_hashes_only_what_survives(docs, monkeypatch):
+    groups, seen = exact_dedup.duplicate_groups, []
+
+    def watched(*args, **options):
+        seen.append(groups(*args, **options))
+        return seen[-1]
+
+    monkeypatch.setattr(exact_dedup, "duplicate_groups", watched)
+    exact_dedup.drop_duplicates(docs)
+    alone, shared = (seen[0].where(c) for c in ("group_size = 1", "group_size > 1"))
+    assert alone.where("text_sha256 is null").count() > 0 and shared.where("text_sha256 is null").count() == 0
+
+
 def test_near_dedup(docs, plain, empty):
     got = near_dedup.near_classes(docs).collect()
     bags = []
