@@ -4,6 +4,7 @@ A page is a row of words and tags. Each word scores one, each tag a negative wei
 highest (the maximum-scoring subsequence). Tag weights are learned from labelled pages, those whose content is marked by
 exactly one ``article`` element: a tag costs the more the larger the share of its occurrences outside marked content.
 Elements that are never content (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) are taken out and cost as one tag each.
+One that is known only by its class, id or role stays if it holds a ``main`` or the page's first ``article`` or, on a page with neither, most of the words.
 
 Defined results: a NULL or empty page has an empty text; of regions with equal scores the first, then the shortest, wins; an unclosed element ends with the page only
 if it is a footer, else it is read as if it had no tag; nothing is cut from long pages; extra columns are not touched.
@@ -11,7 +12,9 @@ if it is a footer, else it is read as if it had no tag; nothing is cut from long
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -27,7 +30,8 @@ REMOVED = 0.5
 
 _PART = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|select|button|object|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"""|<(svg|math)\b(?:[^"'<>=/]++|/(?!>)|=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]++))*+/>"""
+    r"|<(script|style|noscript|template|textarea|title|svg|iframe|select|button|object|math)\b[^>]*>.*?(?:</\2\s*>|\Z)"
     r"""|<(/?)([a-z][a-z0-9:-]*)((?:[^"'<>]++|"[^"<]*"|'[^'<]*'|["'])*+)>"""
     r"|[^<]+|<", re.I | re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -52,31 +56,34 @@ def parts(page: str) -> list[tuple[int, str, bool]]:
     """Text, tags (name, whether closing) and elements that are never content, each as one part."""
     raw, opened, match = [], {}, {}
     for m in _PART.finditer(page):
-        name = m.group(3)
+        name = m.group(4)
         if name:
             name = name.lower()
             k = len(raw)
-            closing = bool(m.group(2))
+            closing = bool(m.group(3))
             named = ""
             if closing:
                 if opened.get(name):
                     match[opened[name].pop()] = k
-            elif name not in _VOID and not m.group(4).rstrip().endswith("/"):
+            elif name not in _VOID and not m.group(5).rstrip().endswith("/"):
                 opened.setdefault(name, []).append(k)
-                named = m.group(4)
+                named = m.group(5)
             raw.append((TAG, name, closing, named))
-        elif m.group(1):
-            raw.append((NOT, m.group(1).lower(), False, ""))
+        elif m.group(1) or m.group(2):
+            raw.append((NOT, (m.group(1) or m.group(2)).lower(), False, ""))
         elif m.group()[:2] in ("<!", "<?") and len(m.group()) > 2:
             continue
         else:
             raw.append((WORD, m.group(), False, ""))
-    out, k = [], 0
+    out, k, content = [], 0, None
     while k < len(raw):
         kind, name, closing, named = raw[k]
         if kind == TAG and not closing and name not in _WHOLE and name not in _VOID and _never(name, named):
             end = match.get(k, len(raw) if name == "footer" else None)
-            if end is not None:
+            by_name = end is not None and name not in NEVER and not _HIDDEN.search(named)
+            if by_name and content is None:
+                content = _content(raw)
+            if end is not None and not (by_name and _holds(content, k, end)):
                 out.append((NOT, name, False))
                 k = end + 1
                 continue
@@ -96,6 +103,22 @@ def _never(name: str, attributes: str) -> bool:
     return bool(_HIDDEN.search(attributes))
 
 
+def _content(raw: list[tuple]) -> tuple[list[int], list[int]]:
+    """Of a page: places of each main and of its first article, and the words before each place if it has neither."""
+    places = [k for k, part in enumerate(raw) if part[0] == TAG and not part[2] and part[1] == "main"]
+    places += [k for k, part in enumerate(raw) if part[0] == TAG and not part[2] and part[1] == "article"][:1]
+    return sorted(places), [] if places else [0, *accumulate(len(part[1].split()) if part[0] == WORD else 0 for part in raw)]
+
+
+def _holds(content: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    """Whether an element has one of these places in it or, on a page without, most of the words."""
+    places, before = content
+    if places:
+        k = bisect_right(places, start)
+        return k < len(places) and places[k] < end
+    return 2 * (before[end] - before[start]) > before[-1]
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
     """Text of the best region: blocks in order, two line ends between them, white space within a block as one blank."""
     row = parts(page)

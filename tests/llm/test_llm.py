@@ -287,3 +287,13 @@ def test_main_text(spark):
     weights = html_text.tag_weights(pages)
     assert [r.t for r in pages.select(html_text.main_texts(F.col("html"), weights).alias("t")).collect()][:3] == [want, "", ""]
     assert html_text.tag_weights(pages.where("false")) == {}
+
+
+def test_main_text_survives_marks_of_removed_elements():
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    for page in (f"<body><svg class='a' width=\"1\"/><p>{text}</p></body>", f"<body><math/><p>{text}</p><math><mi>x</mi></math></body>",
+                 f"<body><div class='layout with-sidebar'><article><p>{text}</p></article></div></body>", f"<body><div id='page-no-comments'><p>{text}</p></div></body>",
+                 f"<body><article><p>{text}</p></article><div class='comments'><article><p>{text} {text} {text} more</p></article></div></body>",
+                 f"<body><p>{text}</p><svg><path d='M0'/>{text} in a picture</svg><div class='sidebar'>{text[:20]} aside</div></body>"):
+        assert html_text.main_text(page, {}) == text
+    assert [p[0] for p in html_text.parts("<svg width=1/>a</svg>b")] == [html_text.NOT, html_text.WORD]
