@@ -12,7 +12,7 @@ empty table gives an empty result. Columns of the input are not touched.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.rows import ROW, SPACE, numbered, whole
+from stockyard.llm.rows import ROW, SPACE, numbered, whole, without
 from stockyard.sources.shared_dir import cut_lineage
 
 PREFIX = 64
@@ -42,7 +42,7 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             .groupBy("__length", "__prefix").count().where("count > 1").select("__length", "__prefix"))
     survivors = sketch.join(bins, ["__length", "__prefix"], "left_semi")
     if not hash_all:
-        # The hash is taken beside the scan and only narrow rows are joined.
+        # Texts whose length and prefix others share are joined with the rows that survive, then hashed.
         hashed = read.join(survivors.select(F.col(ROW).alias("__r")), F.col(ROW) == F.col("__r"), "left_semi").select(F.col(ROW).alias("__r"), sha)
         survivors = survivors.join(hashed, F.col(ROW) == F.col("__r")).drop("__r")
     order = F.struct((-F.col("__chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c"), F.col(ROW).alias("d"))
@@ -60,5 +60,4 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that do not stay; all columns as they were."""
-    dropped = duplicate_groups(docs, doc_id, text).where(~F.col("kept")).select(ROW)
-    return numbered(docs).join(dropped, ROW, "left_anti").drop(ROW)
+    return without(docs, duplicate_groups(docs, doc_id, text).where(~F.col("kept")))

@@ -238,9 +238,11 @@ def held_out(doc_id: Column) -> Column:
 
 def language_rejects(docs: DataFrame) -> DataFrame:
     """Row numbers of documents that are in none of the languages: without letters, or of at least ``LEAST_LETTERS`` letters
-    and with a cross-entropy ``MARGIN_BITS`` above the ``QUANTILE`` of the training texts."""
+    and with a cross-entropy ``MARGIN_BITS`` above the ``QUANTILE`` of the training texts. Without labels none is rejected."""
     spark = docs.sparkSession
     model = train(docs.where(learnable(docs)).select("lang", whole(F.col("text")).alias("text")))
+    if not model["langs"]:  # nothing was learned, so nothing can be rejected
+        return numbered(docs).where("false").select(ROW)
     judged = cut_lineage(numbered(docs).select(ROW, learnable(docs).alias("__learned"), identified(spark, model, whole(F.col("text"))).alias("__l")).select(ROW, "__learned", "__l.*"))
     limits = judged.where(F.col("__learned") & F.col("bits").isNotNull()).groupBy("lang").agg((F.percentile_approx("bits", QUANTILE, 1000) + MARGIN_BITS).alias("__limit"))
     high = F.col("bits") > F.col("__limit")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockyard.llm.rows import ROW, numbered
+from stockyard.llm.rows import ROW, numbered, unused
 from stockyard.operators.keys import assign_surrogate_keys
 from stockyard.sources.shared_dir import cut_lineage
 
@@ -137,7 +137,9 @@ def mix(docs: DataFrame, source, size, order, weights=(1, 2, 3), max_epochs: int
     """
     timed, last = _queued(docs, source, size, order, weights, max_epochs, seed, ())
     turns = F.filter(F.array(*[F.struct(_time(e).alias("time"), F.lit(e).alias("epoch")) for e in range(max_epochs)]), lambda t: t["time"] <= last)
-    taken = timed.select(ROW, turns.alias("__turns")).where(F.size("__turns") > 0)
-    place = [F.col("__turn.time"), F.col(ROW), F.col("__turn.epoch")]
-    repeated = numbered(docs).join(taken, ROW).withColumn("__turn", F.explode("__turns")).drop("__turns")
+    row = unused(docs.columns, ROW)
+    of, all_turns, turn = f"{row}_of", f"{row}_turns", f"{row}_turn"
+    taken = timed.select(F.col(ROW).alias(of), turns.alias(all_turns)).where(F.size(all_turns) > 0)
+    place = [F.col(f"{turn}.time"), F.col(row), F.col(f"{turn}.epoch")]
+    repeated = numbered(docs, row).join(taken, F.col(row) == F.col(of)).withColumn(turn, F.explode(all_turns))
     return repeated.repartitionByRange(*place).sortWithinPartitions(*place).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stockyard.llm.components import components, linked
-from stockyard.llm.rows import ROW, numbered, whole
+from stockyard.llm.rows import ROW, numbered, whole, without
 from stockyard.llm.scratch import Scratch
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -311,5 +311,4 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each class; all columns as they were."""
-    dropped = near_classes(docs, doc_id, text, **options).where(~F.col("kept")).select(ROW)
-    return numbered(docs).join(dropped, ROW, "left_anti").drop(ROW)
+    return without(docs, near_classes(docs, doc_id, text, **options).where(~F.col("kept")))
