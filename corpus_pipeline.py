@@ -10,13 +10,13 @@ from stockyard.llm.language_id import language_rejects
 from stockyard.llm.mixing import mix
 from stockyard.llm.near_dedup import drop_near_duplicates
 from stockyard.llm.packing import pack
-from stockyard.llm.rows import ROW, WORD, numbered, table, whole
+from stockyard.llm.rows import WORD, table, whole, without
 from stockyard.sources.shared_dir import shared_dir
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are in one of the languages."""
-    return numbered(docs).join(language_rejects(docs), ROW, "left_anti").drop(ROW)
+    return without(docs, language_rejects(docs))
 
 
 def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
