@@ -114,10 +114,48 @@ def op10_main_text(spark, sf_dir):
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_shards(spark, sf_dir):
+    """Eight shards of nearly equal bytes, copies of a text together."""
+    from stockyard.llm.sharding import shard_rows
+    rows = shard_rows(table(spark, sf_dir, "documents"), 8)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_collocations(spark, sf_dir):
+    """The 2000 phrases of each language whose words belong together most."""
+    from stockyard.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+g AS (SELECT lang, s, array_to_string(ws[i:i + s - 1], ' ') AS phrase FROM (SELECT lang, ws, s, unnest(range(1, CAST(len(ws) AS BIGINT) - s + 2)) AS i FROM p, (VALUES (1), (2), (3)) sizes(s))),
+f AS MATERIALIZED (SELECT lang, s, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE s = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, s, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE s > 1 AND a >= 10),
+x AS MATERIALIZED (SELECT lang, s, phrase, a, k, array_to_string(ws[1:k], ' ') AS before, array_to_string(ws[k + 1:s], ' ') AS behind
+      FROM (SELECT *, unnest(range(1, s)) AS k FROM c)),
+k AS (SELECT x.lang, x.s, x.phrase, x.a, x.k, l.a AS l, r.a AS r, CAST(CAST(1000000 AS HUGEINT) * x.a * x.a // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.phrase = x.before JOIN f r ON r.lang = x.lang AND r.phrase = x.behind),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM k) WHERE cut = 1),
+o AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, a FROM c WHERE s = 3 UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), a FROM c WHERE s = 3) GROUP BY ALL),
+t AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank FROM b LEFT JOIN o ON b.s = 2 AND o.lang = b.lang AND o.phrase = b.phrase
+      WHERE o.most IS NULL OR 100 * o.most < 50 * b.a)
+SELECT t.lang, t.rank, t.phrase, t.a, t.l, t.r, n.n, t.score FROM t JOIN n ON n.lang = t.lang WHERE t.rank <= 2000"""
+
+
+def op13_alignment(spark, sf_dir):
+    """Groups and links of the tokens of two vocabularies in every text, with the corpus counts of the links."""
+    from stockyard.llm.alignment import aligned, pair_counts
+    docs = table(spark, sf_dir, "documents")
+    return aligned(docs, pair_counts(docs), groups=False)
+
+
 def queries():
     return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_exact_dedup, op4_near_dedup, op5_secret_scan, op6_token_counts, op7_pack, op8_language_id,
-                                    op9_url_rules, op10_main_text)}
+                                    op9_url_rules, op10_main_text, op11_shards, op12_collocations, op13_alignment)}
 
 
 def oracle_sql():
-    return {"op3_exact_dedup": OP3_SQL, "op9_url_rules": OP9_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op9_url_rules": OP9_SQL, "op12_collocations": OP12_SQL}
