@@ -34,6 +34,8 @@ UNKNOWN = "und"
 SHARDS, BLOCK = 4, 2_000_000
 #: A bit map has 2 to this power bits, 16 MB.
 MAP_BITS = 27
+#: Numbers of 64 bits of a bit map that travel together.
+_MAP_BLOCK = 1 << 13
 
 #: Upper to lower case, tab to blank, and all that ends a piece to a line end.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
@@ -74,12 +76,21 @@ class BitMap:
 
 
 def bit_map(hashes: DataFrame, column: str, bits: int = MAP_BITS) -> BitMap:
-    """Bit map of a column of hashes; at most ``2 ** (bits - 6)`` numbers reach the driver, however many hashes there are."""
-    at = F.col(column).bitwiseAND((1 << bits) - 1)
+    """Bit map of a column of hashes; its ``2 ** (bits - 3)`` bytes reach the driver in blocks, however many hashes there are."""
+    size = min(_MAP_BLOCK, 1 << (bits - 6))
+
+    def packed(rows: pa.Table) -> pa.Table:
+        words = np.zeros(size, np.uint64)
+        words[rows.column("word").to_numpy() % size] = rows.column("set").to_numpy().view(np.uint64)
+        return pa.table({"block": [rows.column("block")[0].as_py()], "words": pa.array([words.tobytes()], pa.binary())})
+
+    word = F.shiftright(F.col(column).bitwiseAND((1 << bits) - 1), 6)
     bit = F.expr(f"shiftleft(1L, cast(`{column}` & 63 AS int))")
-    filled = hashes.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit).alias("set")).toPandas()
+    filled = hashes.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("set"))
+    blocks = filled.withColumn("block", F.floor(F.col("word") / size)).groupBy("block").applyInArrow(packed, "block long, words binary")
     words = np.zeros(1 << (bits - 6), np.uint64)
-    words[filled["word"].to_numpy(np.int64)] = filled["set"].to_numpy(np.int64).view(np.uint64)
+    for r in blocks.collect():
+        words[r.block * size:(r.block + 1) * size] = np.frombuffer(r.words, np.uint64)
     return BitMap(words)
 
 
