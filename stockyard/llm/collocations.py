@@ -2,7 +2,7 @@
 
 A phrase that occurs ``support`` times in a language occurs, in at least one of several shards, as often as that shard's share
 of the language's words lets expect. So each shard is mined completely at the support lowered in proportion, the phrases frequent in some shard
-are united, and then all of these are counted over the whole corpus. A shard is a hash class of texts, not a task: with one shard a task
+are united, and then all of these are counted over the whole corpus. A shard is a hash class of files, not a task: with one shard a task
 the support of every shard would be one, and nothing would be left out. A shard is mined by as many tasks as the input has.
 
 Three scans: words, with the sizes of the shards; phrases of frequent words, in each shard, by a hash; phrases that were frequent in some shard, whole.
@@ -26,12 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockyard.llm.rows import whole
+from stockyard.llm.rows import shard_of, whole
 from stockyard.llm.scratch import Scratch
 from stockyard.operators.skew import find_hot, lookup
 
 UNKNOWN = "und"
-SHARDS, BLOCK = 4, 2_000_000
+SHARDS, BLOCK = 4, 3_000_000
 #: A bit map has 2 to this power bits, 16 MB.
 MAP_BITS = 27
 #: Numbers of 64 bits of a bit map that travel together.
@@ -240,7 +240,7 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, support: int = 10, shard
     """Exact counts ``lang, phrase, size, a`` of all phrases of 1 to ``longest`` words that occur ``support`` times in their language, and ``lang, n``, the words of each."""
     spark, scratch, content = docs.sparkSession, Scratch(docs.sparkSession), whole(F.col(f"`{text}`"))
     texts = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"),
-                        F.pmod(F.xxhash64(content), F.lit(shards)).cast("int").alias("shard"), content.alias("text")).where("text != ''")
+                        shard_of(docs, shards, content).alias("shard"), content.alias("text")).where("text != ''")
     counted = scratch.keep(_dealt(_word_counts(texts), "lang", "word").groupBy("lang", "shard", "word").agg(F.sum("n").alias("n")))
     totals = counted.where("word IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
     words = counted.where(F.col("word").isNotNull() & (F.col("n") >= support))

@@ -44,6 +44,16 @@ def numbered(df: DataFrame, name: str = ROW) -> DataFrame:
     return joined.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()], number.alias(name))
 
 
+def shard_of(df: DataFrame, shards: int, otherwise: Column) -> Column:
+    """One of ``shards`` classes of files, or a class of ``otherwise`` for rows that come from no file. No split of the files changes it."""
+    try:
+        path = df.metadataColumn("_metadata")["file_path"]
+        df.select(path)
+    except AnalysisException:
+        path = otherwise
+    return F.pmod(F.xxhash64(path), F.lit(shards)).cast("int")
+
+
 def unused(columns: list[str], name: str) -> str:
     """``name``, with underscores in front until it begins none of ``columns``."""
     taken = [c.lower() for c in columns]
