@@ -6,6 +6,9 @@ hands on each task's distinct pairs with their counts. The distinct pairs get a
 it is alone at its position; its number is the rank of its bit. Each task's counts become a dense vector in the order of these numbers, cut into blocks, and the
 vectors are summed up a tree, block by block. The second pass aligns every text again and looks up the counts of its links; a pair is compared with the key stored at its number.
 
+No token of either vocabulary goes over a blank between two other characters, so both cut a text there and its groups are those of its chunks in a row. Chunks that a task
+meets again are aligned once while they are remembered; texts for which this does not hold (blanks in a row, other white space beside one) are aligned whole.
+
 Two tokens that end together cover the same last bytes, so one is the end of the other. The pairs for which that holds are a property of the two vocabularies
 (``possible_pairs`` counts them, some hundred thousand) and bound the hash and its vectors, however large the corpus is; that is checked before they are sent to the executors.
 
@@ -16,6 +19,7 @@ text; repeated rows count as often as they occur; an empty table has no pairs; e
 import hashlib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -32,8 +36,8 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 #: Counters of one block, vectors summed by one task of the tree, and bits a key of each level of the hash.
 _BLOCK, _FAN, _GAMMA = 8192, 32, 2
-#: Code points encoded together.
-_SOME = 2_000_000
+#: Code points read together, and chunks remembered.
+_SOME, _REMEMBERED = 4_000_000, 200_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -111,6 +115,10 @@ class Vocabularies:
         self.b = [self._piece(i) for i in range(self.second.get_piece_size())]
         self.lengths = tuple(np.array([len(t) for t in side], np.int64) for side in (self.a, self.b))
         self.names = tuple([str(i) for i in range(len(side))] for side in (self.a, self.b))
+        # Chunks are aligned by themselves if every byte has a token and no piece has a blank behind another character.
+        bytes_there = sum(map(self.second.is_byte, range(len(self.b)))) == 256
+        self.by_chunk = bytes_there and not any("▁" in self.second.id_to_piece(i).lstrip("▁") for i in range(len(self.b)))
+        self.closed = _Closed()
 
     @staticmethod
     def _letters() -> dict[str, int]:
@@ -138,6 +146,23 @@ class Vocabularies:
             same = b"".join(map(self.a.__getitem__, a)) == spelled and b"".join(map(self.b.__getitem__, b)) == spelled
             yield (np.array(a, np.int64), np.array(b, np.int64)) if same else None
 
+    def chunks(self, text: str) -> list[str] | None:
+        """What stands between the blanks of a text, ``None`` if the text has to be aligned whole."""
+        parts = text.split(" ")
+        if self.by_chunk and all(map(self.closed.__getitem__, parts)) and self.second.normalize(text).replace("▁", " ") == f" {text}":
+            return parts
+        return None
+
+    def together(self, chunks: list[str]) -> Iterator[tuple[list[str], tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]]:
+        """Some chunks at a time, in a row as one text: its ids, its cuts, and for each chunk where its groups end."""
+        for some, _ in _runs(chunks, chunks):
+            ids = next(self.encode([" ".join(some)]))
+            if ids is None:
+                raise ValueError("chunks that spell themselves do not do so in a row")
+            at = self.cuts(*ids)
+            ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) + 1 for c in some])
+            yield some, ids, at, np.searchsorted(np.cumsum(self.lengths[0][ids[0]])[at[0]], ends) + 1
+
     def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in either sequence of the tokens that end where one of the other ends, in order; no token is empty, so places pair up one to one."""
         ends_a, ends_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
@@ -159,6 +184,16 @@ class Vocabularies:
         return longer_a + longer_b
 
 
+class _Closed(dict):
+    """Whether a chunk begins and ends with something else than white space."""
+
+    def __missing__(self, chunk: str) -> bool:
+        if len(self) > _REMEMBERED:
+            self.clear()
+        closed = self[chunk] = bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
+        return closed
+
+
 _loaded: dict = {}
 
 
@@ -192,35 +227,41 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
             yield from _runs(rows.column(0).to_pylist(), rows.column(1).to_pylist())
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, place, np.concatenate(counts))
-    return distinct, total
-
-
 def _task_pairs(texts: DataFrame, a: str | None, b: str | None) -> DataFrame:
     """``task, key, n``: the distinct linked pairs of each task with their counts."""
     layout = pa.schema([("task", pa.int64()), ("key", pa.int64()), ("n", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, keys, counts, held = vocabularies(a, b), [], [], 0
+        both, found, seen = vocabularies(a, b), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], Counter()
+
+        def settle():
+            """Chunks and pairs counted so far become distinct pairs."""
+            for some, ids, at, ends in both.together(list(seen)):
+                times = np.fromiter(map(seen.__getitem__, some), np.int64, len(some))
+                found.append((_pair(ids[0][at[0]], ids[1][at[1]]), np.repeat(times, np.diff(ends, prepend=0))))
+            seen.clear()
+            distinct, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+            total = np.zeros(len(distinct), np.int64)
+            np.add.at(total, place, np.concatenate([n for _, n in found]))
+            found[:] = [(distinct, total)]
+
         for _, some in _read(batches):
-            found = [np.zeros(0, np.uint64)]
-            for ids in both.encode(some):
+            unlike = []
+            for text in some:
+                parts = both.chunks(text) if text else None
+                if parts is None:
+                    unlike.append(text)
+                else:
+                    seen.update(parts)
+            for ids in both.encode(unlike):
                 if ids is not None:
-                    at_a, at_b = both.cuts(*ids)
-                    found.append(_pair(ids[0][at_a], ids[1][at_b]))
-            distinct, count = np.unique(np.concatenate(found), return_counts=True)
-            keys.append(distinct)
-            counts.append(count)
-            held += len(distinct)
-            if held > 4_000_000:
-                keys, counts = ([x] for x in _summed(keys, counts))
-                held = len(keys[0])
-        if held:
-            distinct, total = _summed(keys, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), TaskContext.get().partitionId(), np.int64)), pa.array(distinct.view(np.int64)), pa.array(total)], schema=layout)
+                    at = both.cuts(*ids)
+                    found.append((_pair(ids[0][at[0]], ids[1][at[1]]), np.ones(len(at[0]), np.int64)))
+            if len(seen) > _REMEMBERED or len(found) > 1000:
+                settle()
+        settle()
+        distinct, total = found[0]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), TaskContext.get().partitionId(), np.int64)), pa.array(distinct.view(np.int64)), pa.array(total)], schema=layout)
 
     return texts.select(F.lit(0).alias("id"), "text").mapInArrow(work, "task long, key long, n long")
 
@@ -305,35 +346,66 @@ def pair_counts(docs: DataFrame, text: str = "text", a: str | None = None, b: st
     return PairCounts(numbers, counts)
 
 
-def groups_text(names: tuple[list[str], list[str]], a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``."""
+def groups(names: tuple[list[str], list[str]], a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[str]:
+    """``a1,a2|b1`` of each group."""
     first, second = [names[0][i] for i in a.tolist()], [names[1][i] for i in b.tolist()]
     ends_a, ends_b = [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()]
-    return ";".join([f"{','.join(first[i:j])}|{','.join(second[k:m])}" for (i, j), (k, m) in zip(pairwise(ends_a), pairwise(ends_b))])
+    return [f"{first[i]}|{second[k]}" if j == i + 1 and m == k + 1 else f"{','.join(first[i:j])}|{','.join(second[k:m])}"
+            for (i, j), (k, m) in zip(pairwise(ends_a), pairwise(ends_b))]
+
+
+class _Chunks:
+    """What the chunks of a worker's texts add to a text: tokens of either kind, groups, best links, sum of counts, and the groups as text."""
+
+    def __init__(self, both: Vocabularies, counts: PairCounts):
+        self.both, self.counts = both, counts
+        self.place, self.texts, self.numbers = {}, [], np.zeros((0, 5), np.int64)
+
+    def learn(self, chunks: set[str]) -> None:
+        if len(self.place) + len(chunks) > 2 * _REMEMBERED:
+            self.place, self.texts, self.numbers = {}, [], np.zeros((0, 5), np.int64)
+        for some, ids, at, ends in self.both.together(list(chunks - self.place.keys())):
+            count, best = self.counts.of(ids[0][at[0]], ids[1][at[1]])
+            spelled, stops = groups(self.both.names, *ids, *at), [0, *ends.tolist()]
+            upto = [np.concatenate([[0], x]) for x in (at[0] + 1, at[1] + 1, np.arange(1, len(count) + 1), np.cumsum(best), np.cumsum(count))]
+            self.place.update(zip(some, range(len(self.texts), len(self.texts) + len(some))))
+            self.texts += [";".join(spelled[i:j]) for i, j in pairwise(stops)]
+            self.numbers = np.concatenate([self.numbers, np.stack([np.diff(x[stops]) for x in upto], 1)])
+
+    def of(self, parts: list[str]) -> tuple[list[int], str]:
+        at = list(map(self.place.__getitem__, parts))
+        return self.numbers[at].sum(0).tolist(), ";".join([self.texts[i] for i in at])
 
 
-def aligned(docs: DataFrame, counts: PairCounts, doc_id: str = "doc_id", text: str = "text", a: str | None = None, b: str | None = None, groups: bool = True) -> DataFrame:
+def aligned(docs: DataFrame, counts: PairCounts, doc_id: str = "doc_id", text: str = "text", a: str | None = None, b: str | None = None, with_groups: bool = True) -> DataFrame:
     """Second pass, one row per document: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` and, if wanted, ``groups`` as text.
 
     ``n_best`` counts the links whose pair is the corpus's most frequent of its B id, ``count_sum`` adds up the counts of all links.
     """
     sent = docs.sparkSession.sparkContext.broadcast(counts)
     fields = [("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")], ("groups_sha256", pa.string())]
-    fields += [("groups", pa.string())] if groups else []
+    fields += [("groups", pa.string())] if with_groups else []
     layout = pa.schema(fields)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, known = vocabularies(a, b), sent.value
+        both, known = vocabularies(a, b), _Chunks(vocabularies(a, b), sent.value)
         for ids, some in _read(batches):
+            split = [both.chunks(t) if t else None for t in some]
+            known.learn(set().union(*[s for s in split if s]))
+            whole_texts = both.encode([t if s is None else "" for s, t in zip(split, some)])
             rows = []
-            for one, coded in zip(ids, both.encode(some)):
-                if coded is None:
-                    rows.append((one, 0, 0, 0, 0, 0, 0, "", ""))
-                    continue
-                at = both.cuts(*coded)
-                count, best = known.of(coded[0][at[0]], coded[1][at[1]])
-                spelled = groups_text(both.names, *coded, *at)
-                rows.append((one, len(coded[0]), len(coded[1]), len(at[0]), len(count), int(best.sum()), int(count.sum()), hashlib.sha256(spelled.encode()).hexdigest(), spelled))
+            for one, parts, coded in zip(ids, split, whole_texts):
+                if parts is not None:
+                    numbers, spelled = known.of(parts)
+                elif coded is not None:
+                    at = both.cuts(*coded)
+                    count, best = sent.value.of(coded[0][at[0]], coded[1][at[1]])
+                    numbers, spelled = (len(coded[0]), len(coded[1]), len(at[0]), int(best.sum()), int(count.sum())), ";".join(groups(both.names, *coded, *at))
+                else:
+                    numbers, spelled = (0, 0, 0, 0, 0), ""
+                n_a, n_b, n_groups, n_best, count_sum = numbers
+                # A group's last tokens are its link: no token is empty, so no other two end there.
+                rows.append((one, n_a, n_b, n_groups, n_groups, n_best, count_sum, hashlib.sha256(spelled.encode()).hexdigest() if spelled else "", spelled))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(layout)], schema=layout)
 
     kinds = ", ".join(f"{f.name} {'string' if f.type == pa.string() else 'long'}" for f in layout)

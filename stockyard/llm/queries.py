@@ -149,7 +149,7 @@ def op13_alignment(spark, sf_dir):
     """Groups and links of the tokens of two vocabularies in every text, with the corpus counts of the links."""
     from stockyard.llm.alignment import aligned, pair_counts
     docs = table(spark, sf_dir, "documents")
-    return aligned(docs, pair_counts(docs), groups=False)
+    return aligned(docs, pair_counts(docs), with_groups=False)
 
 
 def queries():
