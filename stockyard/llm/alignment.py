@@ -38,6 +38,10 @@ _FOLD = np.uint64(0xD6E8FEB86659FD93)
 _BLOCK, _FAN, _GAMMA = 8192, 32, 2
 #: Code points read together, and chunks remembered.
 _SOME, _REMEMBERED = 4_000_000, 200_000
+#: Chunks encoded as one text; the piece encoder slows down on long ones.
+_ROW = 200
+#: A blank beside other white space or at an end of the text.
+_LOOSE = re.compile(r" \s|\s |\A\s|\s\Z")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -118,7 +122,6 @@ class Vocabularies:
         # Chunks are aligned by themselves if every byte has a token and no piece has a blank behind another character.
         bytes_there = sum(map(self.second.is_byte, range(len(self.b)))) == 256
         self.by_chunk = bytes_there and not any("▁" in self.second.id_to_piece(i).lstrip("▁") for i in range(len(self.b)))
-        self.closed = _Closed()
 
     @staticmethod
     def _letters() -> dict[str, int]:
@@ -148,17 +151,17 @@ class Vocabularies:
 
     def chunks(self, text: str) -> list[str] | None:
         """What stands between the blanks of a text, ``None`` if the text has to be aligned whole."""
-        parts = text.split(" ")
-        if self.by_chunk and all(map(self.closed.__getitem__, parts)) and self.second.normalize(text).replace("▁", " ") == f" {text}":
-            return parts
+        if self.by_chunk and not _LOOSE.search(text) and self.second.normalize(text).replace("▁", " ") == f" {text}":
+            return text.split(" ")
         return None
 
     def together(self, chunks: list[str]) -> Iterator[tuple[list[str], tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]]:
         """Some chunks at a time, in a row as one text: its ids, its cuts, and for each chunk where its groups end."""
         for some, _ in _runs(chunks, chunks):
-            ids = next(self.encode([" ".join(some)]))
-            if ids is None:
+            rows = list(self.encode([" ".join(some[lo:lo + _ROW]) for lo in range(0, len(some), _ROW)]))
+            if any(row is None for row in rows):
                 raise ValueError("chunks that spell themselves do not do so in a row")
+            ids = tuple(np.concatenate(side) for side in zip(*rows))
             at = self.cuts(*ids)
             ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) + 1 for c in some])
             yield some, ids, at, np.searchsorted(np.cumsum(self.lengths[0][ids[0]])[at[0]], ends) + 1
@@ -184,16 +187,6 @@ class Vocabularies:
         return longer_a + longer_b
 
 
-class _Closed(dict):
-    """Whether a chunk begins and ends with something else than white space."""
-
-    def __missing__(self, chunk: str) -> bool:
-        if len(self) > _REMEMBERED:
-            self.clear()
-        closed = self[chunk] = bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
-        return closed
-
-
 _loaded: dict = {}
 
 
