@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stockyard import fixed_values as V
 from stockyard.functions.text import parse_ts
+from stockyard.operators.intervals import merged_intervals, overlapping
 
 
 def _at(day: str, hour: str, minute: str) -> Column:
@@ -35,44 +36,22 @@ def downtime_by_reason(downtime: DataFrame) -> DataFrame:
     )
 
 
-def _days(start: str, end: str, first=None, last=None) -> Column:
-    """A row per day from ``start`` to ``end``, none outside ``first`` to ``last``: one mistaken date must not multiply rows."""
-    begin, stop = F.col(start).cast("date"), F.col(end).cast("date")
-    begin = begin if first is None else F.greatest(begin, F.lit(first))
-    stop = stop if last is None else F.least(stop, F.lit(last))
-    return F.explode(F.when(begin <= stop, F.sequence(begin, stop))).alias("day")
-
-
-def _span(df: DataFrame, start: str, end: str) -> tuple:
-    return tuple(df.agg(F.min(F.col(start).cast("date")), F.max(F.col(end).cast("date"))).first())
-
-
 def _whole_branch(downtime: DataFrame) -> DataFrame:
-    whole = downtime.where((F.col("pick_list_id") == V.WHOLE_BRANCH_CODE) & (F.col("stopped_at") < F.col("resumed_at")))
-    return whole.select("branch_id", "stopped_at", "resumed_at").distinct()
+    return downtime.where(F.col("pick_list_id") == V.WHOLE_BRANCH_CODE).select("branch_id", "stopped_at", "resumed_at")
 
 
-def daily_stops(downtime: DataFrame, first=None, last=None) -> DataFrame:
-    """Whole-branch downtime, once per day it touches between ``first`` and ``last``, without copies."""
-    return _whole_branch(downtime).select("branch_id", _days("stopped_at", "resumed_at", first, last), "stopped_at", "resumed_at")
+def branch_stops(downtime: DataFrame) -> DataFrame:
+    """Disjoint times in which a whole branch was down, with the number of records behind each."""
+    return merged_intervals(_whole_branch(downtime), ["branch_id"], "stopped_at", "resumed_at").withColumnRenamed("merged", "records")
 
 
 def exclude_downtime(fact: DataFrame, downtime: DataFrame) -> DataFrame:
     """Fact rows neither named by a downtime record nor separated while their branch was down.
 
-    The overlap test joins on (branch, day), never on the branch alone, so a branch holding a
-    third of the rows is spread over its days. The matches only need to exist: semi joins
-    emit no pairs. Days outside the other side's span cannot match and are not made.
+    Separations and stops of a branch are put in order of time, a row each, and a running maximum finds the overlaps; see ``intervals``.
     """
     named = downtime.where(F.col("pick_list_id") != V.WHOLE_BRANCH_CODE).select(F.col("pick_list_id").alias("__hit"))
-    worked = fact.where(F.col("EmSeparacao") < F.col("ProntoParaConferencia")).select(
-        F.col("CodPickList").alias("__hit"), F.col("Filial").alias("__branch"),
-        F.col("EmSeparacao").alias("__from"), F.col("ProntoParaConferencia").alias("__to"))
-    stops = _span(_whole_branch(downtime), "stopped_at", "resumed_at")
-    worked = worked.select("*", _days("__from", "__to", *stops).alias("__day"))
-    down = daily_stops(downtime, *_span(worked, "__from", "__to"))
-    overlap = ((F.col("__branch") == F.col("branch_id")) & (F.col("__day") == F.col("day"))
-               & (F.col("__from") < F.col("resumed_at")) & (F.col("stopped_at") < F.col("__to")))
-    stopped = worked.join(down, overlap, "left_semi").select("__hit")
+    worked = fact.select(F.col("CodPickList").alias("__hit"), F.col("Filial").alias("branch_id"), F.col("EmSeparacao").alias("__begun"), F.col("ProntoParaConferencia").alias("__done"))
+    stopped = overlapping(worked, _whole_branch(downtime), ["branch_id"], "__begun", "__done", "stopped_at", "resumed_at").select("__hit")
     hits = named.unionByName(stopped).distinct()
     return fact.join(hits, F.col("CodPickList") == F.col("__hit"), "left_anti")

@@ -6,11 +6,14 @@ Spark's committer has put ``_SUCCESS`` into it. That suits dimensions. ``merge_t
 tables too big to rewrite: it replaces only the partitions in which a row changes.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockyard.operators.keyfilter import may_match
 from stockyard.operators.skew import same_key
-from stockyard.operators.upsert import upsert
+from stockyard.operators.upsert import changed_rows, upsert
 from stockyard.schemas import conform, empty, schema
 from stockyard.sources.shared_dir import cut_lineage
 
@@ -70,13 +73,28 @@ def publish(df: DataFrame, root: str, table: str, partition_by: dict[str, Column
     return read_table(spark, root, table)
 
 
-def merge_touched(source: DataFrame, root: str, table: str, keys: list[str], part: str, value: Column) -> DataFrame:
-    """Hash-guarded upsert of ``source`` (unique on ``keys``) into a table stored by ``part``.
+def _read_parts(spark: SparkSession, path: str, table: str, part: str, names: list[str | None]) -> DataFrame:
+    """Rows of the named partitions; no other directory is listed."""
+    paths = [f"{path}/{part}={_NULL_PART if n is None else n}" for n in names]
+    there = [p for p in paths if _folder(spark, p)[1].exists(_folder(spark, p)[0])]
+    if not there:
+        return empty(spark, table).withColumn(part, F.lit(None).cast("string"))
+    read = spark.read.schema(schema(table)).option("basePath", path).parquet(*there)
+    return conform(read, table, part).withColumn(part, F.col(part).cast("string"))
+
+
+def merge_touched(source: DataFrame, root: str, table: str, keys: list[str], part: str, value: Column, by_key: bool = False) -> DataFrame:
+    """The table after ``merge_changes``."""
+    return merge_changes(source, root, table, keys, part, value, by_key)[0]
+
 
-    ``value`` gives a row's partition. Stored keys, hashes and partitions are read to find the
-    new and changed rows; then only partitions such a row leaves or enters are read in full and
-    replaced. A load that changes nothing writes nothing. The new content is complete in the
-    shared folder before the first directory is replaced. Replacing the directories is one
+def merge_changes(source: DataFrame, root: str, table: str, keys: list[str], part: str, value: Column, by_key: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Hash-guarded upsert of ``source`` (unique on ``keys``) into a table stored by ``part``: the table, and the new or changed rows.
+
+    ``value`` gives a row's partition. Of the stored rows only keys, hashes and partitions are read to find the new and changed ones:
+    where the key decides the partition (``by_key``) only in the source's partitions, else of all, but what misses a Bloom filter of the source's
+    keys is not moved. Then only partitions a changed row leaves or enters are read in full and replaced. A load that changes nothing writes nothing.
+    The new content is complete in the shared folder before the first directory is replaced. Replacing the directories is one
     commit per load but not atomic for readers; a catalog with row-level MERGE does better.
     """
     spark = source.sparkSession
@@ -85,13 +103,26 @@ def merge_touched(source: DataFrame, root: str, table: str, keys: list[str], par
     folder, fs = _folder(spark, path)
     if not fs.exists(folder):
         if _versions(spark, _path(root, table)):  # published rows are where the merge starts
-            rows = cut_lineage(upsert(read_table(spark, root, table), rows, keys, source_unique=True))
+            before = read_table(spark, root, table)
+            rows = cut_lineage(rows)
+            changed = cut_lineage(changed_rows(before, rows, keys))
+            rows = cut_lineage(upsert(before, rows, keys, source_unique=True))
+        else:
+            changed = None
         rows.withColumn(part, value).hint("rebalance", part).write.partitionBy(part).parquet(path)
-        return read_table(spark, root, table)
-
-    stored = conform(spark.read.schema(schema(table)).parquet(path), table, part)
+        now = read_table(spark, root, table)
+        return now, now if changed is None else changed
+
+    rows = cut_lineage(rows)
+    if by_key:
+        here = [r.p for r in rows.select(value.cast("string").alias("p")).distinct().collect()]
+        stored = _read_parts(spark, path, table, part, here)
+    else:
+        stored = may_match(conform(spark.read.schema(schema(table)).parquet(path), table, part).select(*keys, "row_hash", part), rows, keys)
     # A commit cut off half way may have left a key in two partitions; such a key counts as changed in both.
-    known = stored.groupBy(*keys).agg(
+    mine = rows.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    wanted = stored.join(mine, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys]), "left_semi")
+    known = wanted.groupBy(*keys).agg(
         F.min("row_hash").alias("__hash"), F.collect_set(F.coalesce(F.col(part).cast("string"), F.lit(_NULL_PART))).alias("__parts"),
         F.count("*").alias("__copies"), F.lit(True).alias("__known")).alias("t")
     hash_differs = F.col("__hash").isNull() | (F.col("__hash") != F.col("s.row_hash")) | (F.col("__copies") > 1)
@@ -102,14 +133,12 @@ def merge_touched(source: DataFrame, root: str, table: str, keys: list[str], par
     entered = changed.select(value.cast("string").alias("p"))
     left = changed.select(F.explode("__parts").alias("p")).select(F.nullif("p", F.lit(_NULL_PART)).alias("p"))
     touched = [r.p for r in entered.unionByName(left).distinct().collect()]
+    fresh = changed.drop("__parts")
     if not touched:
-        return read_table(spark, root, table)
+        return read_table(spark, root, table), fresh
 
-    here = F.col(part).cast("string")
-    named = [p for p in touched if p is not None]
-    affected = here.isin(named) | here.isNull() if None in touched else here.isin(named)
-    before = stored.where(affected).select([f.name for f in schema(table)])
-    after = cut_lineage(upsert(before, changed.drop("__parts"), keys, source_unique=True).dropDuplicates(keys).withColumn(part, value))
+    before = _read_parts(spark, path, table, part, touched).select([f.name for f in schema(table)])
+    after = cut_lineage(upsert(before, fresh, keys, source_unique=True).dropDuplicates(keys).withColumn(part, value))
     # Emptied directories go first: the rows they held are in the source, so a load repeated after a failure puts them back.
     filled = {r.p for r in after.select(F.col(part).cast("string").alias("p")).distinct().collect()}
     for emptied in set(touched) - filled:
@@ -117,4 +146,4 @@ def merge_touched(source: DataFrame, root: str, table: str, keys: list[str], par
         fs.delete(_folder(spark, f"{path}/{part}={name}")[0], True)
     (after.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
     spark.catalog.refreshByPath(path)
-    return read_table(spark, root, table)
+    return read_table(spark, root, table), fresh

@@ -311,11 +311,61 @@ def test_merge_heals_a_commit_cut_off_half_way(spark, rows, tmp_path):
 
 
 def test_a_stop_without_end_makes_no_rows(spark):
-    from stockyard.operators.downtime import daily_stops, exclude_downtime
+    from stockyard.operators.downtime import branch_stops, exclude_downtime
     downtime = spark.sql("SELECT '0' AS pick_list_id, 'F1' AS branch_id, timestamp_ntz'2026-01-02 10:00:00' AS stopped_at, timestamp_ntz'9999-12-31 00:00:00' AS resumed_at")
     fact = spark.sql("""SELECT * FROM VALUES ('1', 'F1', timestamp_ntz'2026-01-01 09:00:00', timestamp_ntz'2026-01-01 09:30:00'),
-        ('2', 'F1', timestamp_ntz'2026-01-03 09:00:00', timestamp_ntz'2026-01-03 09:30:00'), ('3', 'F2', timestamp_ntz'2026-01-03 09:00:00', timestamp_ntz'2026-01-03 09:30:00')
+        ('2', 'F1', timestamp_ntz'2026-01-03 09:00:00', timestamp_ntz'2026-01-03 09:30:00'), ('4', 'F1', timestamp_ntz'2026-01-01 09:00:00', timestamp_ntz'9999-12-31 00:00:00'),
+        ('5', 'F1', timestamp_ntz'2026-01-02 09:00:00', timestamp_ntz'2026-01-02 10:00:00'), ('3', 'F2', timestamp_ntz'2026-01-03 09:00:00', timestamp_ntz'2026-01-03 09:30:00')
         AS t(CodPickList, Filial, EmSeparacao, ProntoParaConferencia)""")
+    assert branch_stops(downtime).count() == 1
+    kept = exclude_downtime(fact, downtime)
+    assert as_set(kept, "CodPickList") == {("1",), ("3",), ("5",)}
+    assert "Generate" not in kept._jdf.queryExecution().executedPlan().toString()  # nothing is exploded, whatever the dates
+
+
+def test_intervals_equal_a_comparison_of_all_pairs(spark):
+    import random
+    from stockyard.operators.intervals import merged_intervals, overlapping
+    rng, day = random.Random(2), 1440
+    span = lambda most: (a := rng.randint(0, 12 * day), a + rng.randint(-5, most))
+    stops = [(rng.choice(["a", "b", None]), *span(rng.choice([30, 900, 6 * day]))) for _ in range(60)] + [("c", 5, 5), ("c", 9, 3), ("d", 0, 10), ("d", 10, 20), ("d", 21, 22)]
+    work = [(i, rng.choice(["a", "b", "c", "d", None]), *span(rng.choice([20, 600]))) for i in range(300)] + [(300, "d", 20, 21), (301, "d", 19, 21), (302, "d", 22, 30)]
+    at = lambda c: F.expr(f"timestampadd(MINUTE, {c}, timestamp_ntz'2026-01-01 00:00:00')").alias(c)
+    stopped = spark.createDataFrame(stops, "k string, s int, e int").select("k", at("s"), at("e"))
+    worked = spark.createDataFrame(work, "i int, k string, f int, t int").select("i", "k", at("f"), at("t"))
+    want = {i for i, k, f, t in work if k and f < t and any(k == x and s < e and s < t and e > f for x, s, e in stops)}
+    got = [r.i for r in overlapping(worked, stopped, ["k"], "f", "t", "s", "e").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    merged = [(r.k, r.s, r.e, r.merged) for r in merged_intervals(stopped, ["k"], "s", "e").collect()]
+    minutes = {k: set() for k in "abcd"}
+    for k, s, e in stops:
+        if k:
+            minutes[k].update(range(s, e))
     import datetime
-    assert daily_stops(downtime, datetime.date(2026, 1, 1), datetime.date(2026, 1, 3)).count() == 2
-    assert as_set(exclude_downtime(fact, downtime), "CodPickList") == {("1",), ("3",)}
+    zero = datetime.datetime(2026, 1, 1)
+    for k in "abcd":
+        mine = sorted(((s - zero).total_seconds() / 60, (e - zero).total_seconds() / 60) for x, s, e, _ in merged if x == k)
+        assert sum(b - a for a, b in mine) == len(minutes[k]) and all(b < c for (_, b), (c, _) in zip(mine, mine[1:]))
+    assert sum(n for *_, n in merged) == sum(bool(k) and s < e for k, s, e in stops)
+
+
+@pytest.mark.parametrize("by_key", [True, False])
+def test_merge_reads_only_directories_it_needs(spark, rows, tmp_path, monkeypatch, by_key):
+    root, table = str(tmp_path), "silver.dim_transportadora"
+    schema = "carrier_code STRING, carrier_name STRING, website STRING, row_hash STRING"
+    part = F.col("carrier_code").substr(1, 1) if by_key else F.col("website")
+    merge = lambda *data: tables.merge_changes(rows(schema, *data), root, table, ["carrier_code"], "p", part, by_key)
+    merge(*[(f"{c}{i}", "1", c, "h") for c in "abcdef" for i in range(3)])
+    listed, read = [], tables._read_parts
+    monkeypatch.setattr(tables, "_read_parts", lambda *args: listed.append((args[4], read(*args).inputFiles())) or read(*args))
+    now, changed = merge(("b1", "2", "b", "h2"), ("b2", "1", "b", "h"), ("c9", "1", "c", "h"))
+    assert as_set(changed, "carrier_code") == {("b1",), ("c9",)} and now.count() == 19
+    assert {n for names, _ in listed for n in names} == {"b", "c"}
+    assert all("p=b" in f or "p=c" in f for _, files in listed for f in files) and len(listed) == 1 + by_key
+
+
+def test_key_filter_loses_no_key(spark):
+    from stockyard.operators.keyfilter import may_match
+    stored, source = spark.range(5000).selectExpr("cast(id AS string) AS k", "id"), spark.range(0, 5000, 50).selectExpr("cast(id AS string) AS k")
+    assert may_match(stored, source, ["k"]).where("id % 50 = 0").count() == 100 and may_match(stored, source, ["k"]).count() < 200
+    assert may_match(stored, source, ["k"], words=1).where("id % 50 = 0").count() == 100
