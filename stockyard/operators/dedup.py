@@ -20,6 +20,7 @@ class Ranking:
     stage: Callable[[DataFrame], DataFrame]  # raw rows to the latest staged row per key
     restage: Callable[[DataFrame], DataFrame]  # stored rows with their ``beside`` columns to staged rows
     finish: Callable[[DataFrame], DataFrame]  # staged rows to rows of the table
+    rows: Callable[[DataFrame], DataFrame] | None = None  # raw rows to staged rows, row by row, for streams that keep the latest as state
 
 
 def keep_latest(df: DataFrame, keys: list[str], latest: list[str] | None = None) -> DataFrame:

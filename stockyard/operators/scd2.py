@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from stockyard import fixed_values as V
 from stockyard.operators.keys import assign_surrogate_keys, highest_key
 from stockyard.operators.upsert import upsert
+from stockyard.sources.shared_dir import cut_lineage
 
 
 def _time(text_or_column) -> Column:
@@ -30,32 +31,26 @@ def apply_changes(dim: DataFrame, source: DataFrame, nk: str, sk: str, load_ts:
     sides use the same time, ``load_ts`` standing in for a missing one, and closing and
     opening are one result: there is no moment without a current version. Closed history
     is passed through without a shuffle. A NULL stored hash is neither closed nor reopened.
+    The source is read once: its changed rows, stored, are what closes, opens and is numbered.
     ``late="reject"`` leaves out source rows that ``late_rows`` reports.
     """
     if late not in ("accept", "reject"):
         raise ValueError("late must be 'accept' or 'reject'")
-    if late == "reject":
-        rejected = late_rows(dim, source, nk, source_hash, ts).select(F.col(nk).alias("__late"))
-        source = source.join(rejected, F.col(nk) == F.col("__late"), "left_anti")
-
     is_current = F.coalesce(F.col("is_current"), F.lit(False))
     history, current = dim.where(~is_current), dim.where(is_current)
-    change = source.select(F.col(nk).alias("__nk"), F.col(source_hash).alias("__hash"),
-                           F.coalesce(F.col(ts), _time(load_ts)).alias("__at"))
+    changes = cut_lineage(_changes(current, source, nk, load_ts, source_hash, ts, late))
 
+    closing = changes.select(F.col(nk).alias("__nk"), F.col(source_hash).alias("__hash"), "__at")
     differs = F.coalesce(F.col("row_hash") != F.col("__hash"), F.lit(False))
     closed = (
-        current.join(change, F.col(nk) == F.col("__nk"), "left")
+        current.join(closing, F.col(nk) == F.col("__nk"), "left")
         .withColumn("effective_end", F.when(differs, F.col("__at")).otherwise(F.col("effective_end")))
         .withColumn("is_current", ~differs)
         .select(*dim.columns)
     )
-
-    kept = current.select(F.col(nk).alias("__nk"), F.col("row_hash").alias("__kept"))
-    still_current = (F.col(nk) == F.col("__nk")) & F.coalesce(F.col("__kept") == F.col(source_hash), F.lit(True))
     opened = (
-        source.join(kept, still_current, "left_anti")
-        .withColumn("effective_start", F.coalesce(F.col(ts), _time(load_ts)))
+        changes.where("__opens")
+        .withColumn("effective_start", F.col("__at"))
         .withColumn("effective_end", _time(V.OPEN_END))
         .withColumn("is_current", F.lit(True))
         .withColumn("row_hash", F.col(source_hash))
@@ -65,6 +60,26 @@ def apply_changes(dim: DataFrame, source: DataFrame, nk: str, sk: str, load_ts:
     return history.unionByName(closed).unionByName(numbered)
 
 
+def _changes(current: DataFrame, source: DataFrame, nk: str, load_ts: str, source_hash: str, ts: str, late: str) -> DataFrame:
+    """The source rows that close or open a version, with the time (``__at``) and whether they open one (``__opens``).
+
+    One join of the source with the hashes of the current versions settles both, and whether a row is late; the rest of the source goes no further.
+    """
+    known = current.groupBy(F.col(nk).alias("__nk")).agg(
+        F.collect_set("row_hash").alias("__hashes"), F.max("effective_start").alias("__start"), F.lit(True).alias("__there"))
+    joined = source.join(known, F.col(nk) == F.col("__nk"), "left")
+    there, hashed = F.col("__there").isNotNull(), F.col(source_hash).isNotNull()
+    same = F.coalesce(F.array_contains("__hashes", F.col(source_hash)), F.lit(False))
+    # A NULL hash on either side compares as unknown: it neither closes nor opens.
+    unknown = ~hashed | (F.size("__hashes") == 0)
+    opens = ~there | ~(unknown | same)
+    closes = there & hashed & (F.size("__hashes") > same.cast("int"))
+    kept = joined.withColumns({"__opens": opens, "__at": F.coalesce(F.col(ts), _time(load_ts))}).where(opens | closes)
+    if late == "reject":
+        kept = kept.where(~F.coalesce(closes & (F.col(ts) <= F.col("__start")), F.lit(False)))
+    return kept.drop("__nk", "__hashes", "__start", "__there")
+
+
 def current_versions(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("is_current"))
 

@@ -371,7 +371,33 @@ def _hash_upsert(target: str, source: str, keys: list[str], columns: list[str],
 _CTES["stored_lines"] = _lines_from(f"(SELECT * FROM lines_staged WHERE updated_at < TIMESTAMP '{SECOND_LOAD}')")
 _CTES["new_lines"] = _lines_from(f"(SELECT * FROM lines_staged WHERE updated_at >= TIMESTAMP '{HORIZON} 00:00:00')")
 
+# Lines after two loads: what the second drop holds wins, and within a drop the greatest values.
+_CTES["loaded_lines"] = f"SELECT *, {_LINE_SHA} AS row_hash FROM (" + _ranked(
+    f"(SELECT *, CASE WHEN updated_at < TIMESTAMP '{SECOND_LOAD}' THEN 1 ELSE 2 END AS load FROM lines_staged)",
+    "pick_list_id, pick_line_id", ["load", "order_id", "item_code", "rel_quantity", "pick_quantity"]) + ")"
+_CTES["loaded_totals"] = _CTES["line_totals"].replace("FROM lines ", "FROM loaded_lines ")
+_CTES["loaded_fact"] = _fact_from("header").replace("line_totals", "loaded_totals")
+_PEOPLE_SHA = _sha(*map(_filled, ["user_name", "department", "region"]))
+_CARRIER_SHA = _sha(*map(_filled, ["carrier_name", "website"]))
+
 _SELECTS: dict[str, str] = {
+    "bronze_drops": _all("opkl"),
+    "bronze_recent": f"""SELECT * FROM opkl WHERE "UpdateDate" >= '{SECOND_LOAD}'""",
+    "operator_dim": f"""SELECT user_code, user_name, department, region, {_PEOPLE_SHA} AS row_hash FROM (
+        SELECT 'O' || lpad(CAST(c_custkey + 1 AS VARCHAR), 9, '0') AS user_code, c_name AS user_name, c_mktsegment || ' 1' AS department,
+            CASE WHEN c_nationkey <> 7 THEN {_state('c_nationkey')} END AS region FROM customer WHERE c_nationkey <> 3)""",
+    "carrier_dim": f"""SELECT carrier_code, carrier_name, website, {_CARRIER_SHA} AS row_hash FROM (
+        SELECT 'T' || lpad(CAST(s_suppkey + 1 AS VARCHAR), 6, '0') AS carrier_code, s_name AS carrier_name,
+            CASE WHEN s_nationkey <> 7 THEN 'www.1.example.com' END AS website FROM supplier)""",
+    "merge_moved_partition": f"""SELECT * EXCLUDE (old_hash), {_HEADER_SHA} AS row_hash FROM (
+        SELECT * EXCLUDE (row_hash) REPLACE (CASE WHEN status = 'C' THEN pick_date + 40 ELSE pick_date END AS pick_date), row_hash AS old_hash FROM header)""",
+    "merge_after_publish": _all("header"),
+    "refresh_window": """SELECT "CodPickList", fk_data_sk, fk_empresa_sk, fk_cliente_sk, "StatusDocumento", "QtdSKU", CAST("QtdPecas" AS DOUBLE) AS "QtdPecas", row_hash
+        FROM loaded_fact""",
+    "downtime_intervals": """SELECT branch_id, min(stopped_at) AS stopped_at, max(resumed_at) AS resumed_at, count(*) AS records FROM (
+        SELECT *, sum(CASE WHEN stopped_at <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY branch_id ORDER BY stopped_at, resumed_at ROWS UNBOUNDED PRECEDING) AS island
+        FROM (SELECT *, max(resumed_at) OVER (PARTITION BY branch_id ORDER BY stopped_at, resumed_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+              FROM downtime WHERE pick_list_id = '0' AND stopped_at < resumed_at)) GROUP BY branch_id, island""",
     "scan_csv_bronze": _all("opkl"),
     "stage_header": _all("header_staged"),
     "parse_dates": f"""SELECT "AbsEntry", "UpdateDate", {_ts('"PickDate"', _TS, '%Y-%m-%d')} AS pick_ts,
@@ -467,6 +493,7 @@ _SELECTS: dict[str, str] = {
         WHERE update_date >= TIMESTAMP '{SECOND_LOAD}' - INTERVAL 35 DAY AND update_date <= TIMESTAMP '{SECOND_LOAD}'""",
     "stream_upsert_header": _all("header"),
     "stream_late_files": _all("header"),
+    "stream_keyed_state": _all("header"),
     "skewed_lookup": """SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, n AS orders_of_status
 FROM orders LEFT JOIN (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1) ON nullif(o_orderstatus, 'P') = s""",
     "skewed_asof": """WITH l AS (SELECT l_returnflag AS flag, CAST(l_shipdate AS DATE) AS day, count(*) OVER (PARTITION BY l_returnflag, year(l_shipdate)) AS lines_of_year FROM lineitem)

@@ -17,7 +17,7 @@ from stockyard.operators.asof import asof_join, or_unknown
 from stockyard.operators.keys import assign_surrogate_keys
 from stockyard.operators.skew import find_hot, lookup
 from stockyard.operators.upsert import changed_rows, upsert
-from stockyard.plans import gold, sample_feed as feed, silver
+from stockyard.plans import gold, refresh, sample_feed as feed, silver
 from stockyard.schemas import empty
 from stockyard.session import together
 from stockyard.sources import bronze, tables
@@ -146,6 +146,43 @@ def scan_csv_bronze(spark, d):
     return bronze.read_extract(spark, "OPKL", f"{folder}/OPKL")
 
 
+@_query
+def bronze_drops(spark, d):
+    """Two drops of an extract by name pattern; the file of another extract beside them is not read."""
+    root = _scratch(spark, "bronze")
+    _two_header_drops(spark, d, root)
+    bronze.write_extract(feed.oshp(spark, d), "OSHP", f"{root}/OPKL/OSHP_19980615_150000.csv")
+    return bronze.read_bronze(spark, "OPKL", root)
+
+
+@_query
+def bronze_recent(spark, d):
+    """Of two drops the one that a look-back of 35 days still opens."""
+    root = _scratch(spark, "bronze")
+    _two_header_drops(spark, d, root)
+    return bronze.read_bronze(spark, "OPKL", root, since="1998-05-11 15:00:00")
+
+
+def _two_header_drops(spark, d, root):
+    raw, changed = feed.opkl(spark, d), F.col("UpdateDate")
+    bronze.write_drop(raw.where(changed < feed.SECOND_LOAD), "OPKL", root, _stamp(feed.FIRST_LOAD))
+    bronze.write_drop(raw.where(changed >= feed.SECOND_LOAD), "OPKL", root, _stamp(feed.SECOND_LOAD))
+
+
+def _stamp(at: str) -> str:
+    return at.replace("-", "").replace(":", "").replace(" ", "_")
+
+
+@_query
+def operator_dim(spark, d):
+    return silver.operators(feed.ousr(spark, d))
+
+
+@_query
+def carrier_dim(spark, d):
+    return silver.carriers(feed.oshp(spark, d))
+
+
 @_query
 def stage_header(spark, d):
     return silver.stage_header(feed.opkl(spark, d))
@@ -314,6 +351,28 @@ def unknown_member(spark, d):
     return gold.product_dimension(empty(spark, "gold.dim_produto"), silver.products(feed.oitm(spark, d)))
 
 
+def _merged_header(spark, lake, source):
+    (part, value), = silver.header_partition().items()
+    return tables.merge_touched(source, lake, "silver.opkl_clean", ["pick_list_id"], part, value)
+
+
+@_query
+def merge_moved_partition(spark, d):
+    """Cancelled picklists get a date 40 days later, so that their rows leave a month and enter another."""
+    lake, header = _scratch(spark, "lake"), _header(spark, d)
+    _merged_header(spark, lake, header)
+    later = header.where(F.col("status") == V.CANCELLED).withColumn("pick_date", F.date_add("pick_date", 40))
+    return _merged_header(spark, lake, later.withColumn("row_hash", row_hash(later, silver.HEADER_HASH)))
+
+
+@_query
+def merge_after_publish(spark, d):
+    """Headers published as a whole after the first drop, then merged by month with all rows."""
+    lake, raw = _scratch(spark, "lake"), feed.opkl(spark, d)
+    tables.publish(silver.header(raw.where(F.col("UpdateDate") < feed.SECOND_LOAD)), lake, "silver.opkl_clean")
+    return _merged_header(spark, lake, silver.header(raw))
+
+
 # --- history -----------------------------------------------------------------------------------
 
 @_query
@@ -453,6 +512,26 @@ def fact_upsert(spark, d):
     return upsert(stored, built(silver.header(raw), feed.SECOND_LOAD), ["CodPickList"], source_unique=True)
 
 
+@_query
+def refresh_window(spark, d):
+    """The fact after a load of everything and a second one that opens the newest drop only and builds only what it changed."""
+    root, lake = _scratch(spark, "bronze"), _scratch(spark, "lake")
+
+    def load(at, window, headers, lines, number):
+        bronze.write_drop(feed.opkl(spark, d).where(headers), "OPKL", root, _stamp(at))
+        bronze.write_drop(feed.opkl1(spark, d).where(lines), "OPKL1", root, _stamp(at))
+        bronze.write_drop(feed.ocrd(spark, d, number), "OCRD", root, _stamp(at))
+        bronze.write_drop(feed.owhs(spark, d, number), "OWHS", root, _stamp(at))
+        bronze.write_drop(feed.oitm(spark, d), "OITM", root, _stamp(at))
+        refresh.refresh(spark, root, lake, at, feed.HORIZON, CALENDAR, partition="month", window=window)
+
+    changed, extracted = F.col("UpdateDate"), F.col("ExtractTs")
+    load(feed.FIRST_LOAD, None, changed < feed.SECOND_LOAD, extracted < feed.SECOND_LOAD, 1)
+    load(feed.SECOND_LOAD, V.INCREMENTAL_WINDOW_DAYS, changed >= feed.SECOND_LOAD, extracted >= feed.SECOND_LOAD, 2)
+    return tables.read_table(spark, lake, "gold.fact_picklists").select(
+        "CodPickList", "fk_data_sk", "fk_empresa_sk", "fk_cliente_sk", "StatusDocumento", "QtdSKU", "QtdPecas", "row_hash")
+
+
 @_query
 def fact_partition_counts(spark, d):
     stored = tables.publish(_fact(spark, d), _scratch(spark, "lake"), "gold.fact_picklists", gold.fact_partitions("month"))
@@ -559,6 +638,11 @@ def downtime_by_reason(spark, d):
     return downtime.downtime_by_reason(downtime.stage_downtime(feed.downtime(spark, d)))
 
 
+@_query
+def downtime_intervals(spark, d):
+    return downtime.branch_stops(downtime.stage_downtime(feed.downtime(spark, d)))
+
+
 @_query
 def exclude_downtime(spark, d):
     # Stored first: the fact is read twice, once narrow for the overlap and once for the result.
@@ -600,5 +684,17 @@ def stream_late_files(spark, d):
     return _streamed(spark, d, changed >= feed.SECOND_LOAD, changed < feed.SECOND_LOAD, ranking=silver.header_ranking())
 
 
+@_query
+def stream_keyed_state(spark, d):
+    """The newer drop first, the older one late, after a restart from the checkpoint; ranks are kept as state. Must equal one batch."""
+    raw, root, lake = feed.opkl(spark, d), _scratch(spark, "bronze"), _scratch(spark, "lake")
+    changed = F.col("UpdateDate")
+    for drop in (changed >= feed.SECOND_LOAD, changed < feed.SECOND_LOAD):
+        bronze.write_extract(raw.where(drop), "OPKL", f"{root}/OPKL")
+        stream = bronze.stream_bronze(spark, "OPKL", root, pattern="*.csv")
+        incremental.rank_stream(stream, lake, "silver.opkl_clean", ["pick_list_id"], f"{lake}/_stream", silver.header_partition(), silver.header_ranking())
+    return tables.read_table(spark, lake, "silver.opkl_clean")
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)

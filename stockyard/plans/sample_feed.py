@@ -168,3 +168,22 @@ def downtime(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Reason "), (k % 15).cast("string")).alias("Motivo"),
         F.concat("event_type", F.lit("@Example.com")).alias("Email"),
     )
+
+
+def ousr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pickers from customers, without a code for those of one nation; those in debt come twice, with another department."""
+    c = _read(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    c = c.withColumn("v", F.explode(F.when(F.col("c_acctbal") < 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
+    return c.select(
+        F.when(F.col("c_nationkey") != 3, _code("O", k + 1, 9)).alias("USER_CODE"), F.col("c_name").alias("U_NAME"),
+        F.concat(F.col("c_mktsegment"), F.lit(" "), F.col("v").cast("string")).alias("Department"),
+        F.when(F.col("c_nationkey") != 7, _state(F.col("c_nationkey"))).alias("Branch"))
+
+
+def oshp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carriers from suppliers; those in debt come twice, with another site."""
+    s = _read(spark, sf_dir, "supplier")
+    s = s.withColumn("v", F.explode(F.when(F.col("s_acctbal") < 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
+    return s.select(_code("T", F.col("s_suppkey") + 1, 6).alias("TrnspCode"), F.col("s_name").alias("TrnspName"),
+                    F.when(F.col("s_nationkey") != 7, F.concat(F.lit("www."), F.col("v").cast("string"), F.lit(".example.com"))).alias("WebSite"))

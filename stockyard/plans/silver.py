@@ -80,7 +80,8 @@ def header_ranking() -> Ranking:
     return Ranking("silver.opkl_versions", line_partition(), HEADER_RANK, ["update_date"],
                    stage=lambda raw: header_versions(stage_header(raw)),
                    restage=lambda stored: stored.select("pick_list_id", F.col("created_at").alias("pick_ts"), *HEADER_KEPT, "update_date"),
-                   finish=lambda latest: _hashed_header(_header_rows(latest)))
+                   finish=lambda latest: _hashed_header(_header_rows(latest)),
+                   rows=lambda raw: stage_header(raw).where(F.col("pick_ts").isNotNull()))
 
 
 def header_rejects(raw: DataFrame, *extra_formats: str) -> DataFrame:

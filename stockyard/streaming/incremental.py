@@ -49,3 +49,23 @@ def upsert_stream(raw: DataFrame, clean: Callable[[DataFrame], DataFrame], lake:
 
     query = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def rank_stream(raw: DataFrame, lake: str, table: str, keys: list[str], checkpoint: str, partition: dict[str, Column], ranking: Ranking) -> None:
+    """Drain a raw file stream into ``lake``; the highest-ranking row of each key is kept as state, not looked up in the table.
+
+    The state is the aggregate of a streaming ``max`` over a key's rows in the order of ``keep_latest`` (NULLs lowest, ties by the remaining columns), over all
+    runs from the same checkpoint. A batch hands on the rows of the keys it held; a row that did not change has the stored hash and is left alone, so late files change
+    nothing they should not. Rows are reduced in each map task before they move. On a cluster give Spark its RocksDB
+    state store. Rows that were stored without this stream have no state: load a table through one or the other.
+    """
+    staged = ranking.rows(raw)
+    order = ranking.latest + [c for c in staged.columns if c not in keys and c not in ranking.latest]
+    best = staged.groupBy(*keys).agg(F.max(F.struct(*order)).alias("__best")).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in order])
+
+    def load(batch: DataFrame, _batch_id: int) -> None:
+        (part, value), = partition.items()
+        merge_touched(ranking.finish(batch), lake, table, keys, part, value)
+
+    query = best.writeStream.outputMode("update").foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()

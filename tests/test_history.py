@@ -145,3 +145,29 @@ def test_period_wise_pairs_equal_one_window_per_key(spark, period):
     assert (got.scd_overlap, got.scd_gap) == (want.scd_overlap, want.scd_gap)
     assert got.scd_missing_hash == sum(1 for r in data if r[4] is None)
     assert got.scd_bad_range == sum(1 for r in data if r[2] and r[1] >= r[2])
+
+
+def test_source_is_read_once_and_late_rows_are_told_apart(spark):
+    from stockyard.operators import scd2
+    from stockyard.schemas import empty
+    reads = spark.sparkContext.accumulator(0)
+
+    def snapshot(*data):
+        df = spark.createDataFrame(list(data), "customer_id string, customer_name string, source_hash string, src_ts timestamp_ntz")
+        noted = F.udf(lambda x: reads.add(1) or x, "string").asNondeterministic()
+        missing = ("tax_id", "email", "state", "city", "zip_code", "address", "phone", "is_active")
+        return df.withColumn("customer_name", noted("customer_name")).withColumns({c: F.lit(None).cast("string") for c in missing})
+
+    at = lambda day: dt.datetime(2026, 1, day)
+    first = snapshot(("a", "A", "h1", at(10)), ("b", "B", "h1", at(10)), ("c", "C", "h1", at(10)), ("d", "D", None, at(10)))
+    load = lambda dim, source, **how: scd2.apply_changes(dim, source, "customer_id", "customer_sk", "2026-01-31 00:00:00", **how)
+    dim = load(empty(spark, "silver.dim_cliente_scd"), first).checkpoint()
+    assert reads.value == 4 and dim.count() == 4
+    reads.value = 0
+    second = snapshot(("a", "A2", "h2", at(20)), ("b", "B2", "h2", at(5)), ("c", "C", "h1", at(20)), ("d", "D2", "h2", at(20)), ("e", "E", "h1", at(20)))
+    rejected = load(dim, second, late="reject").checkpoint()
+    assert reads.value == 5  # the extract is read once
+    rows = {(r.customer_id, r.row_hash, r.is_current) for r in rejected.collect()}
+    assert rows == {("a", "h1", False), ("a", "h2", True), ("b", "h1", True), ("c", "h1", True), ("d", None, True), ("e", "h1", True)}
+    accepted = {(r.customer_id, r.row_hash, r.is_current) for r in load(dim, second).collect()}
+    assert accepted == rows - {("b", "h1", True)} | {("b", "h1", False), ("b", "h2", True)}

@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 NAMES = ["scan_csv_bronze", "parse_dates", "repair_decimal", "dedup_latest_header", "dedup_latest_line", "dedup_latest_product", "row_hash_header",
          "row_hash_versioned", "calendar_join", "header_with_lines", "upsert_hash_guarded", "upsert_composite_key", "unknown_member", "scd2_customer",
          "sync_history_hash_only", "asof_branch_sk", "fact_upsert", "dq_scd_late", "dq_scd_overlap", "dq_scd_gap", "dq_totals", "operator_productivity",
-         "exclude_downtime", "stream_upsert_header", "stream_late_files", "skewed_lookup", "skewed_asof"]
+         "exclude_downtime", "stream_upsert_header", "stream_late_files", "skewed_lookup", "skewed_asof",
+         "bronze_drops", "bronze_recent", "operator_dim", "carrier_dim", "merge_moved_partition", "merge_after_publish", "downtime_intervals", "refresh_window", "stream_keyed_state"]
 
 
 @pytest.fixture(scope="module")
