@@ -99,7 +99,9 @@ def test_runs_of_neighbours_are_even_for_any_ids(spark, tmp_path, ids):
     judge = lambda rows: ({"doc_id": d, "a": t, "b": n, "task": TaskContext.get().partitionId()} for d, t, n in rows)
     read = spark.read.parquet(str(tmp_path / "d"))
     got = fingerprint.beside_next(read, judge, "doc_id long, a string, b string, task long").collect()
-    order = [r.text for r in sorted(read.withColumn("row", F.monotonically_increasing_id()).collect(), key=lambda r: (-r.doc_id, r.row))]
+    # Rows of one id follow each other by file and place there.
+    placed = read.select("doc_id", "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).collect()
+    order = [r.text for r in sorted(placed, key=lambda r: (-r.doc_id, r.file, r.at))]
     assert {r.a: r.b for r in got} == dict(zip(order, order[1:] + order[:1])) and len(got) == len(ids)
     assert max(Counter(r.task for r in got).values()) < 0.9 * len(ids)
 
