@@ -275,16 +275,13 @@ _CTES["intervals"] = f"""
         CASE WHEN o_orderstatus = 'P' THEN {_END} ELSE o_orderdate + to_days(CAST(CAST(trunc(o_totalprice) AS BIGINT) % 300 AS INTEGER)) END AS effective_end,
         o_orderpriority = '5-LOW' AS is_current, CASE WHEN o_orderpriority <> '2-HIGH' THEN 'h' END AS row_hash FROM orders"""
 
-# Spark casts decimals of these columns to double, so the oracle does too.
-_DOUBLES = {"rel_quantity", "pick_quantity", "weight", "length", "width", "height", "PesoBruto", "QtdPecas"}
-
-
-def _all(source: str, doubles: list[str] = ()) -> str:
-    casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in doubles)
+# The queries give decimals as text with all places of their scale, so the oracle does too.
+def _all(source: str, decimals: list[str] = ()) -> str:
+    casts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in decimals)
     return f"SELECT * REPLACE ({casts}) FROM {source}" if casts else f"SELECT * FROM {source}"
 
 
-_FACT_DOUBLES = ["PesoBruto", "QtdPecas"]
+_FACT_DECIMALS = ["PesoBruto", "QtdPecas"]
 _SIZES = ["weight", "length", "width", "height"]
 
 
@@ -359,12 +356,12 @@ _COMPANY = ["codigo", "nome", "empresa_estoque", "cod_filial", "razao_social", "
 _UPDATED = " AND ".join(["t.row_hash <> s.row_hash"])
 
 
-def _hash_upsert(target: str, source: str, keys: list[str], columns: list[str], doubles: list[str] = ()) -> str:
+def _hash_upsert(target: str, source: str, keys: list[str], columns: list[str], decimals: list[str] = ()) -> str:
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
 
     def cell(c):
         value = f"CASE WHEN t.{keys[0]} IS NULL OR t.row_hash <> s.row_hash THEN s.{c} ELSE t.{c} END"
-        return f"CAST({value} AS DOUBLE) AS {c}" if c in doubles else f"{value} AS {c}"
+        return f"CAST({value} AS VARCHAR) AS {c}" if c in decimals else f"{value} AS {c}"
     return f"SELECT {', '.join(map(cell, columns))} FROM {target} t FULL JOIN {source} s ON {on}"
 
 
@@ -392,7 +389,7 @@ _SELECTS: dict[str, str] = {
     "merge_moved_partition": f"""SELECT * EXCLUDE (old_hash), {_HEADER_SHA} AS row_hash FROM (
         SELECT * EXCLUDE (row_hash) REPLACE (CASE WHEN status = 'C' THEN pick_date + 40 ELSE pick_date END AS pick_date), row_hash AS old_hash FROM header)""",
     "merge_after_publish": _all("header"),
-    "refresh_window": """SELECT "CodPickList", fk_data_sk, fk_empresa_sk, fk_cliente_sk, "StatusDocumento", "QtdSKU", CAST("QtdPecas" AS DOUBLE) AS "QtdPecas", row_hash
+    "refresh_window": """SELECT "CodPickList", fk_data_sk, fk_empresa_sk, fk_cliente_sk, "StatusDocumento", "QtdSKU", CAST("QtdPecas" AS VARCHAR) AS "QtdPecas", row_hash
         FROM loaded_fact""",
     "downtime_intervals": """SELECT branch_id, min(stopped_at) AS stopped_at, max(resumed_at) AS resumed_at, count(*) AS records FROM (
         SELECT *, sum(CASE WHEN stopped_at <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY branch_id ORDER BY stopped_at, resumed_at ROWS UNBOUNDED PRECEDING) AS island
@@ -403,24 +400,24 @@ _SELECTS: dict[str, str] = {
     "parse_dates": f"""SELECT "AbsEntry", "UpdateDate", {_ts('"PickDate"', _TS, '%Y-%m-%d')} AS pick_ts,
         {_ts('"PickDate"', _TS, '%Y-%m-%d', _BR)} AS pick_ts_any, {_ts('"U_DataPedido"', _TS)} AS ordered_at FROM opkl""",
     "clean_text": """SELECT "CardCode" AS customer_id, "UpdateDate" AS update_text, upper(trim("State1")) AS state, lower("E_Mail") AS email FROM ocrd2""",
-    "repair_decimal": "SELECT pick_list_id, pick_line_id, updated_at, CAST(rel_quantity AS DOUBLE) AS rel_quantity, CAST(pick_quantity AS DOUBLE) AS pick_quantity FROM lines_staged",
+    "repair_decimal": "SELECT pick_list_id, pick_line_id, updated_at, CAST(rel_quantity AS VARCHAR) AS rel_quantity, CAST(pick_quantity AS VARCHAR) AS pick_quantity FROM lines_staged",
     "extract_code": f"""SELECT "AbsEntry", "UpdateDate", {_code('"U_Filial"')} AS branch_code, {_code('"Status"')} AS no_digits FROM opkl""",
     "quarantine_report": f"""SELECT 'unreadable date' AS reject_reason, count(*) AS rejected, count(*) FILTER (WHERE try_strptime("PickDate", '{_BR}') IS NOT NULL)
         AS rescued_by_extra_format FROM opkl WHERE {_ts('"PickDate"', _TS, '%Y-%m-%d')} IS NULL""",
     "dedup_latest_header": "SELECT * EXCLUDE (row_hash) FROM header",
-    "dedup_latest_line": "SELECT * EXCLUDE (row_hash) REPLACE (CAST(rel_quantity AS DOUBLE) AS rel_quantity, CAST(pick_quantity AS DOUBLE) AS pick_quantity) FROM lines",
+    "dedup_latest_line": "SELECT * EXCLUDE (row_hash) REPLACE (CAST(rel_quantity AS VARCHAR) AS rel_quantity, CAST(pick_quantity AS VARCHAR) AS pick_quantity) FROM lines",
     "dedup_latest_customer": "SELECT * EXCLUDE (row_hash) FROM customers2",
-    "dedup_latest_product": "SELECT * EXCLUDE (row_hash) REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _SIZES) + ") FROM products",
+    "dedup_latest_product": "SELECT * EXCLUDE (row_hash) REPLACE (" + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _SIZES) + ") FROM products",
     "row_hash_header": "SELECT pick_list_id, row_hash FROM header",
     "row_hash_line": "SELECT pick_list_id, pick_line_id, row_hash FROM lines",
     "row_hash_product": "SELECT product_id AS nk_product_id, row_hash FROM products",
     "row_hash_versioned": f"SELECT customer_id, effective_start, {_versioned_sha(_CUSTOMER)} AS row_hash FROM customer_history",
     "calendar_dim": _all("order_days"),
     "calendar_join": "SELECT pick_list_id, pick_date, data_sk AS fk_data_sk FROM header LEFT JOIN days ON data = pick_date",
-    "line_weight": 'SELECT pick_list_id, CAST("PesoBruto" AS DOUBLE) AS "PesoBruto" FROM line_totals',
-    "lines_per_picklist": 'SELECT pick_list_id, "QtdSKU", CAST("QtdPecas" AS DOUBLE) AS "QtdPecas" FROM line_totals',
-    "header_with_lines": """SELECT h.pick_list_id, pick_date, status, coalesce("QtdSKU", 0) AS "QtdSKU", CAST(coalesce("QtdPecas", 0) AS DOUBLE) AS "QtdPecas",
-        CAST(coalesce("PesoBruto", 0) AS DOUBLE) AS "PesoBruto" FROM header h LEFT JOIN line_totals t ON h.pick_list_id = t.pick_list_id""",
+    "line_weight": 'SELECT pick_list_id, CAST("PesoBruto" AS VARCHAR) AS "PesoBruto" FROM line_totals',
+    "lines_per_picklist": 'SELECT pick_list_id, "QtdSKU", CAST("QtdPecas" AS VARCHAR) AS "QtdPecas" FROM line_totals',
+    "header_with_lines": """SELECT h.pick_list_id, pick_date, status, coalesce("QtdSKU", 0) AS "QtdSKU", CAST(coalesce("QtdPecas", 0) AS VARCHAR) AS "QtdPecas",
+        CAST(coalesce("PesoBruto", 0) AS VARCHAR) AS "PesoBruto" FROM header h LEFT JOIN line_totals t ON h.pick_list_id = t.pick_list_id""",
     "sla_seconds": "SELECT pick_list_id, CAST(epoch(pronto_conferencia) - epoch(em_separacao) AS BIGINT) AS sla_segundos FROM header",
     "changed_customers": "SELECT s.* FROM customers2 s LEFT JOIN customers1 t ON s.customer_id = t.customer_id WHERE t.customer_id IS NULL OR t.row_hash <> s.row_hash",
     "upsert_hash_guarded": _hash_upsert("customers1", "customers2", ["customer_id"], ["customer_id", *_CUSTOMER, "src_ts", "row_hash"]),
@@ -432,7 +429,7 @@ _SELECTS: dict[str, str] = {
         UNION ALL SELECT 0, 0, 'Desconhecida', 0, '_UNKNOWN_', 'Desconhecida', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'Desconhecido'""",
     "surrogate_keys": "SELECT 1000 + row_number() OVER (ORDER BY customer_id) AS customer_sk, customer_id, customer_name FROM customers2",
     "unknown_member": f"""SELECT row_number() OVER (ORDER BY product_id) AS product_sk, product_id AS nk_product_id, product_name, category_id, sales_unit, buy_unit,
-        {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _SIZES)}, barcode, is_active, created_at, row_hash FROM products
+        {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in _SIZES)}, barcode, is_active, created_at, row_hash FROM products
         UNION ALL SELECT (SELECT count(*) + 1 FROM products), '_UNKNOWN_', 'Desconhecido', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, sha256('_UNKNOWN_')""",
     "scd2_customer": _all("customer_history"),
     "scd2_branch": _all("branch_history"),
@@ -454,12 +451,12 @@ _SELECTS: dict[str, str] = {
     "full_refresh": _opening("is_current"),
     "asof_customer_sk": f"SELECT h.pick_list_id, h.pick_date, coalesce(c.customer_sk, 0) AS customer_sk FROM header h LEFT JOIN customer_history c ON {_asof('c', 'customer_id')}",
     "asof_branch_sk": f"SELECT h.pick_list_id, h.pick_date, coalesce(e.empresa_sk, 0) AS empresa_sk, e.supervisor FROM header h LEFT JOIN companies e ON {_asof('e', 'branch_id')}",
-    "fact_picklists": _all("fact", _FACT_DOUBLES),
-    "fact_upsert": f"""SELECT * REPLACE (CAST("PesoBruto" AS DOUBLE) AS "PesoBruto", CAST("QtdPecas" AS DOUBLE) AS "QtdPecas") FROM (
+    "fact_picklists": _all("fact", _FACT_DECIMALS),
+    "fact_upsert": f"""SELECT * REPLACE (CAST("PesoBruto" AS VARCHAR) AS "PesoBruto", CAST("QtdPecas" AS VARCHAR) AS "QtdPecas") FROM (
         SELECT l.* FROM late_fact l LEFT JOIN early_fact e ON l."CodPickList" = e."CodPickList" WHERE e."CodPickList" IS NULL OR e.row_hash <> l.row_hash
         UNION ALL SELECT e.* FROM early_fact e LEFT JOIN late_fact l ON l."CodPickList" = e."CodPickList"
         WHERE l."CodPickList" IS NULL OR e.row_hash = l.row_hash)""",
-    "fact_partition_counts": 'SELECT fk_data_sk, count(*) AS picklists, CAST(sum("QtdPecas") AS DOUBLE) AS pieces FROM fact GROUP BY fk_data_sk',
+    "fact_partition_counts": 'SELECT fk_data_sk, count(*) AS picklists, CAST(sum("QtdPecas") AS VARCHAR) AS pieces FROM fact GROUP BY fk_data_sk',
     "dq_duplicates": "SELECT pick_list_id, pick_line_id, count(*) AS copies FROM lines_staged GROUP BY pick_list_id, pick_line_id HAVING count(*) > 1",
     "dq_header": _checks("silver.opkl_clean", _header_checks("header")),
     "dq_header_raw": _checks("silver.opkl_clean", _header_checks("header_staged", "customer_id")),
@@ -476,10 +473,10 @@ _SELECTS: dict[str, str] = {
     "sla_breach_rate": f"""SELECT "Supervisor", count(*) AS picklists, count(*) FILTER (WHERE sla_segundos > {SLA_TARGET}) AS late,
         CAST(count(*) FILTER (WHERE sla_segundos > {SLA_TARGET}) AS DOUBLE) / count(*) AS breach_rate FROM fact WHERE sla_segundos IS NOT NULL GROUP BY "Supervisor\"""",
     "operator_productivity": """SELECT "IdSeparador" AS operator, CAST("EmSeparacao" AS DATE) AS day, count(DISTINCT "CodPickList") AS picklists,
-        CAST(coalesce(sum(pick_quantity), 0) AS DOUBLE) AS pieces, count(DISTINCT item_code) AS items
+        CAST(coalesce(sum(pick_quantity), 0) AS VARCHAR) AS pieces, count(DISTINCT item_code) AS items
         FROM fact LEFT JOIN lines ON "CodPickList" = pick_list_id WHERE "IdSeparador" IS NOT NULL AND "EmSeparacao" IS NOT NULL GROUP BY 1, 2""",
     "backlog": f"""SELECT "Filial", CASE WHEN age <= 1 THEN '0-1' WHEN age <= 7 THEN '2-7' WHEN age <= 30 THEN '8-30' ELSE '31+' END AS age_band,
-        count(*) AS picklists, CAST(sum("QtdPecas") AS DOUBLE) AS pieces
+        count(*) AS picklists, CAST(sum("QtdPecas") AS VARCHAR) AS pieces
         FROM (SELECT *, date_diff('day', CAST("DataPickList" AS DATE), DATE '{BACKLOG_DAY}') AS age FROM fact)
         WHERE "Cancelado" <> 'Y' AND "ProntoParaConferencia" IS NULL AND "Saida" IS NULL GROUP BY 1, 2""",
     "downtime_by_reason": """SELECT reason, count(*) AS stops, count(DISTINCT branch_id) AS branches,

@@ -38,9 +38,9 @@ def _query(run: Query) -> Query:
 
 
 def _comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, whose text is the same in every engine."""
+    """Decimals as text with all places of their scale, so that they compare exactly in every engine."""
     kinds = {f.name: f.dataType for f in df.schema}
-    return df.select([F.col(c).cast("double").alias(c) if isinstance(k, T.DecimalType) else F.col(c) for c, k in kinds.items()])
+    return df.select([F.col(c).cast("string").alias(c) if isinstance(k, T.DecimalType) else F.col(c) for c, k in kinds.items()])
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
