@@ -4,6 +4,8 @@ count in no average."""
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockyard.operators.quantiles import bin_counts, bin_quantiles, merge_bins
+
 
 def _whole(c: Column) -> Column:
     return F.round(c).cast("bigint")
@@ -24,6 +26,30 @@ def separation_times(fact: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def separation_bins(fact: DataFrame) -> DataFrame:
+    """``Filial, day, sign, bin, n``: the separation seconds of each branch and day as bins, to be stored and added up."""
+    return bin_counts(fact.withColumn("day", F.col("DataPickList").cast("date")), "sla_segundos", ["Filial", "day"])
+
+
+def separation_rollup(bins: DataFrame) -> DataFrame:
+    """``level, Filial, period, picklists, p50_seconds, p90_seconds`` of branches by month, branches and months, from stored ``separation_bins`` alone.
+
+    A month is its first day; a level without branch or period has NULL there.
+    """
+    none, month = F.lit(None), F.trunc("day", "month")
+    monthly = merge_bins(bins, ["Filial", month.alias("period")])
+    levels = {
+        "branch and month": monthly,
+        "branch": merge_bins(monthly, ["Filial", none.cast("date").alias("period")]),
+        "month": merge_bins(monthly, [none.cast("string").alias("Filial"), "period"]),
+    }
+    every = None
+    for level, part in levels.items():
+        part = part.select(F.lit(level).alias("level"), "Filial", "period", "sign", "bin", "n")
+        every = part if every is None else every.unionByName(part)
+    return bin_quantiles(every, ["level", "Filial", "period"], {"p50_seconds": 0.5, "p90_seconds": 0.9}).withColumnRenamed("n", "picklists")
+
+
 def breach_rate(fact: DataFrame, target_seconds: int, by: list[str]) -> DataFrame:
     """Share of separated picklists slower than ``target_seconds``."""
     s = F.col("sla_segundos")

@@ -4,12 +4,11 @@ Nothing here is used by the library. Each text is a chain of common table expres
 derives the raw extracts and the tables in SQL, followed by one select per query.
 """
 
-from stockyard import fixed_values as V
 from stockyard.plans.registry import BACKLOG_DAY, CALENDAR, SLA_TARGET
 from stockyard.plans.sample_feed import FIRST_LOAD, HORIZON, SECOND_LOAD, STATES
 
 _TS, _BR = "%Y-%m-%d %H:%M:%S", "%d/%m/%Y %H:%M:%S"
-_END = f"TIMESTAMP '{V.OPEN_END}'"
+_END = "TIMESTAMP '9999-12-31 00:00:00'"
 
 
 def _list(values) -> str:
@@ -92,6 +91,8 @@ _CTES["opkl1"] = f"""
         l_shipdate AS extracted
     FROM (SELECT *, CASE WHEN l_partkey % 20 = 0 THEN replace(CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
                     ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS qty FROM lineitem)"""
+_RAW_HEADER = """AbsEntry PickDate Status U_CodPedido U_DataPedido U_CodCliente U_Filial U_IdSeparador U_ProntoParaImpressao U_EmSeparacao
+    U_ProntoParaConferencia U_EmConferencia U_Conferido U_Saida U_CodTransp CreateDate UpdateDate""".split()
 _CTES["header_staged"] = f"""
     SELECT "AbsEntry" AS pick_list_id, {_ts('"PickDate"', _TS, '%Y-%m-%d')} AS pick_ts, upper(trim("Status")) AS status, "U_CodPedido" AS order_id,
         {_ts('"U_DataPedido"', _TS)} AS data_pedido, "U_CodCliente" AS customer_id, "U_Filial" AS branch_id, "U_IdSeparador" AS separator_id,
@@ -188,14 +189,26 @@ _CTES["late_history"] = f"""
     FROM customers1 l WHERE NOT EXISTS (SELECT 1 FROM customer_history h WHERE h.customer_id = l.customer_id AND h.is_current AND h.row_hash = l.row_hash)"""
 
 
+# Fixed values, restated here so that a wrong one in the library does not pass.
 def _supervisor(state: str) -> str:
-    arms = " ".join(f"WHEN {state} IN ({', '.join(repr(s) for s in states)}) THEN '{who}'" for who, states in V.SUPERVISOR_STATES.items())
-    return f"CASE {arms} ELSE '{V.NO_SUPERVISOR}' END"
+    return f"""CASE WHEN {state} IN ('AC', 'AL', 'AM', 'AP', 'BA', 'CE', 'MA', 'PA', 'PB', 'PE', 'PI', 'RN', 'RO', 'RR', 'SE', 'TO') THEN 'Roberto Carlos'
+        WHEN {state} IN ('DF', 'GO', 'MS', 'MT') THEN 'Mariana Silva' WHEN {state} IN ('ES', 'MG', 'RJ', 'SP') THEN 'Thiago Mendes'
+        WHEN {state} IN ('PR', 'RS', 'SC') THEN 'Beatriz Souza' ELSE 'Não Atribuído' END"""
 
 
 def _cost_center(code: str) -> str:
-    arms = " ".join(f"WHEN {code} = {k} THEN '{v}'" for k, v in V.COST_CENTERS.items())
-    return f"CASE {arms} ELSE '{V.NO_COST_CENTER}' END"
+    return f"""CASE {code} WHEN 1 THEN '9301' WHEN 3 THEN '9104' WHEN 4 THEN '9105' WHEN 5 THEN '9106' WHEN 6 THEN '9001' WHEN 7 THEN '9002'
+        WHEN 8 THEN '9003' WHEN 9 THEN '9005' WHEN 11 THEN '9006' WHEN 12 THEN '9201' WHEN 13 THEN '9202' WHEN 14 THEN '9203' WHEN 15 THEN '9204'
+        WHEN 17 THEN '9304' WHEN 18 THEN '9305' WHEN 19 THEN '9302' WHEN 20 THEN '9304' WHEN 21 THEN '9004' WHEN 22 THEN '9103' WHEN 23 THEN '9101'
+        WHEN 24 THEN '9102' WHEN 25 THEN '9205' ELSE 'Ajustar' END"""
+
+
+_MONTHS = ["janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro", "novembro", "dezembro"]
+_WEEKDAYS = ["segunda", "terça", "quarta", "quinta", "sexta", "sábado", "domingo"]
+_NINE, _SIX = "1899-12-30 09:00:00", "1899-12-30 18:00:00"
+_OPEN = {"hora_inicio": _NINE, "hora_primeiro_pedido": "1899-12-30 09:30:00", "hora_almoco_inicio": "1899-12-30 12:00:00", "hora_almoco_fim": "1899-12-30 13:00:00",
+         "hora_ultimo_pedido": "1899-12-30 17:30:00", "hora_fim": _SIX, "total_hora_de_trabalho_sem_almoco": _NINE,
+         "total_hora_de_trabalho_com_almoco": "1899-12-30 08:00:00"}
 
 
 def _size(code: str) -> str:
@@ -216,8 +229,8 @@ _CTES["companies"] = f"""
 def _calendar(first: str, last: str) -> str:
     return f"""SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS data_sk, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, CAST(d AS DATE) AS data,
         CAST(year(d) AS INTEGER) AS ano, CAST(quarter(d) AS INTEGER) AS trimestre, CAST(month(d) AS INTEGER) AS mes, CAST(day(d) AS INTEGER) AS dia,
-        CAST(isodow(d) AS INTEGER) AS dia_semana, {_list(V.MONTH_NAMES)}[month(d)] AS nome_mes,
-        {_list(V.MONTH_ABBREVIATIONS)}[month(d)] AS mes_abrev, {_list(V.WEEKDAY_NAMES)}[isodow(d)] AS nome_dia
+        CAST(isodow(d) AS INTEGER) AS dia_semana, {_list(_MONTHS)}[month(d)] AS nome_mes,
+        left({_list(_MONTHS)}[month(d)], 3) AS mes_abrev, {_list(_WEEKDAYS)}[isodow(d)] AS nome_dia
     FROM (SELECT unnest(generate_series(CAST({first} AS TIMESTAMP), CAST({last} AS TIMESTAMP), INTERVAL 1 DAY)) AS d)"""
 
 
@@ -349,7 +362,7 @@ def _hours(cells: dict[str, str]) -> str:
 
 
 def _opening(where: str) -> str:
-    return f"SELECT cod_filial, nome AS filial, {_hours(V.OPENING_HOURS)}, porte = 'Pequena' AS pausa_para_almoco, supervisor FROM companies WHERE {where}"
+    return f"SELECT cod_filial, nome AS filial, {_hours(_OPEN)}, porte = 'Pequena' AS pausa_para_almoco, supervisor FROM companies WHERE {where}"
 
 
 _COMPANY = ["codigo", "nome", "empresa_estoque", "cod_filial", "razao_social", "uf", "cidade", "bairro", "endereco", "cep", "supervisor", "centro_de_custo", "porte"]
@@ -396,6 +409,9 @@ _SELECTS: dict[str, str] = {
         FROM (SELECT *, max(resumed_at) OVER (PARTITION BY branch_id ORDER BY stopped_at, resumed_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
               FROM downtime WHERE pick_list_id = '0' AND stopped_at < resumed_at)) GROUP BY branch_id, island""",
     "scan_csv_bronze": _all("opkl"),
+    "malformed_lines": f"""SELECT "AbsEntry", CAST(CASE n WHEN 9 THEN 15 WHEN 19 THEN 18 ELSE 17 END AS BIGINT) AS fields,
+        CASE n WHEN 9 THEN array_to_string(f[1:15], ';') WHEN 19 THEN array_to_string(f, ';') || ';extra' END AS line
+        FROM (SELECT *, CAST("AbsEntry" AS BIGINT) % 50 AS n, [{', '.join(f"""coalesce("{c}", '')""" for c in _RAW_HEADER)}] AS f FROM opkl)""",
     "stage_header": _all("header_staged"),
     "parse_dates": f"""SELECT "AbsEntry", "UpdateDate", {_ts('"PickDate"', _TS, '%Y-%m-%d')} AS pick_ts,
         {_ts('"PickDate"', _TS, '%Y-%m-%d', _BR)} AS pick_ts_any, {_ts('"U_DataPedido"', _TS)} AS ordered_at FROM opkl""",
@@ -447,7 +463,7 @@ _SELECTS: dict[str, str] = {
     "map_branch_size": f"SELECT pick_list_id, {_size(_code('branch_id'))} AS porte FROM header",
     "branch_enrichment": _all("companies"),
     "branch_hours": f"""{_opening('is_current')}
-        UNION ALL SELECT '_UNKNOWN_', 'Desconhecida', {', '.join(f"TIMESTAMP '{t}'" for t in V.UNKNOWN_OPENING_HOURS.values())}, FALSE, 'Desconhecido'""",
+        UNION ALL SELECT '_UNKNOWN_', 'Desconhecida', {', '.join(f"TIMESTAMP '{t}'" for t in (_OPEN | {"hora_primeiro_pedido": _NINE, "hora_ultimo_pedido": _SIX}).values())}, FALSE, 'Desconhecido'""",
     "full_refresh": _opening("is_current"),
     "asof_customer_sk": f"SELECT h.pick_list_id, h.pick_date, coalesce(c.customer_sk, 0) AS customer_sk FROM header h LEFT JOIN customer_history c ON {_asof('c', 'customer_id')}",
     "asof_branch_sk": f"SELECT h.pick_list_id, h.pick_date, coalesce(e.empresa_sk, 0) AS empresa_sk, e.supervisor FROM header h LEFT JOIN companies e ON {_asof('e', 'branch_id')}",
@@ -470,6 +486,13 @@ _SELECTS: dict[str, str] = {
     "dq_totals": f"SELECT table_name, CAST(sum(violations) AS BIGINT) AS violations, sum(violations) >= 1 AS breached FROM ({_REPORT}) GROUP BY table_name",
     "sla_by_branch": _separation("Filial"),
     "sla_by_day": _separation("DataPickList"),
+    "sla_rollup": """SELECT * FROM (WITH timed AS (SELECT "Filial" AS f, CAST(date_trunc('month', "DataPickList") AS DATE) AS m, sla_segundos AS s FROM fact WHERE sla_segundos IS NOT NULL),
+        levels AS (SELECT 'branch and month' AS level, f, m, s FROM timed UNION ALL SELECT 'branch', f, NULL, s FROM timed UNION ALL SELECT 'month', NULL, m, s FROM timed),
+        sorted AS (SELECT level, f, m, count(*) AS n, list_sort(list(s)) AS v FROM levels GROUP BY level, f, m),
+        picked AS (SELECT *, v[CAST(floor(0.5 * (n - 1)) AS BIGINT) + 1] AS a, v[CAST(floor(0.9 * (n - 1)) AS BIGINT) + 1] AS b, ln(1.01 / 0.99) AS g FROM sorted)
+        SELECT level, f AS "Filial", m AS period, n AS picklists,
+            CAST(round(CASE WHEN a = 0 THEN 0 ELSE sign(a) * 2 * exp(ceil(ln(abs(a)) / g) * g) / (1 + exp(g)) END) AS BIGINT) AS p50_seconds,
+            CAST(round(CASE WHEN b = 0 THEN 0 ELSE sign(b) * 2 * exp(ceil(ln(abs(b)) / g) * g) / (1 + exp(g)) END) AS BIGINT) AS p90_seconds FROM picked)""",
     "sla_breach_rate": f"""SELECT "Supervisor", count(*) AS picklists, count(*) FILTER (WHERE sla_segundos > {SLA_TARGET}) AS late,
         CAST(count(*) FILTER (WHERE sla_segundos > {SLA_TARGET}) AS DOUBLE) / count(*) AS breach_rate FROM fact WHERE sla_segundos IS NOT NULL GROUP BY "Supervisor\"""",
     "operator_productivity": """SELECT "IdSeparador" AS operator, CAST("EmSeparacao" AS DATE) AS day, count(DISTINCT "CodPickList") AS picklists,

@@ -18,7 +18,7 @@ from stockyard.operators.keys import assign_surrogate_keys
 from stockyard.operators.skew import find_hot, lookup
 from stockyard.operators.upsert import changed_rows, upsert
 from stockyard.plans import gold, refresh, sample_feed as feed, silver
-from stockyard.schemas import empty
+from stockyard.schemas import RAW_COLUMNS, empty
 from stockyard.session import together
 from stockyard.sources import bronze, tables
 from stockyard.sources.shared_dir import shared_dir
@@ -222,6 +222,21 @@ def quarantine_report(spark, d):
     return rejects.groupBy("reject_reason").agg(F.count("*").alias("rejected"), F.count_if(rescued).alias("rescued_by_extra_format"))
 
 
+@_query
+def malformed_lines(spark, d):
+    """Headers dropped as text of which some lines lack two fields and some have one more: those with their number of fields, the others as rows."""
+    root, columns, k = _scratch(spark, "bronze"), RAW_COLUMNS["OPKL"].split(), F.col("AbsEntry").cast("bigint")
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+    line = (F.when(k % 50 == 9, F.concat_ws(";", *fields[:-2])).when(k % 50 == 19, F.concat_ws(";", *fields, F.lit("extra")))
+            .otherwise(F.concat_ws(";", *fields)))
+    # One column whose name is the extract's head line, written as it is.
+    feed.opkl(spark, d).select(line.alias(";".join(columns))).write.options(sep="\u0001", quote="", header="true").csv(f"{root}/OPKL/OPKL_{_stamp(feed.FIRST_LOAD)}.csv")
+    checked = bronze.read_checked(spark, "OPKL", root)
+    bad = bronze.malformed_rows(checked).select(F.substring_index("line", ";", 1).alias("AbsEntry"), "fields", "line")
+    good = bronze.well_formed(checked).select("AbsEntry", F.lit(len(columns)).cast("bigint").alias("fields"), F.lit(None).cast("string").alias("line"))
+    return bad.unionByName(good)
+
+
 # --- deduplication and hashing ---------------------------------------------------------------
 
 @_query
@@ -617,6 +632,13 @@ def sla_by_day(spark, d):
     return metrics.separation_times(_fact(spark, d), ["DataPickList"])
 
 
+@_query
+def sla_rollup(spark, d):
+    """Quantiles of months and branches from bins stored by branch and day."""
+    bins = tables.publish(metrics.separation_bins(_fact(spark, d)), _scratch(spark, "lake"), "gold.separation_bins")
+    return metrics.separation_rollup(bins)
+
+
 @_query
 def sla_breach_rate(spark, d):
     return metrics.breach_rate(_fact(spark, d), SLA_TARGET, ["Supervisor"])

@@ -57,6 +57,7 @@ _DDL = {
     "gold.dim_empresas": f"empresa_sk BIGINT, {_COMPANY}",
     "gold.dim_filiais_horarios": _HOURS,
     "gold.dim_data": _DIM_DATA,
+    "gold.separation_bins": "Filial STRING, day DATE, sign INT, bin BIGINT, n BIGINT",
     "silver.opkl_versions": "pick_list_id STRING, update_date TIMESTAMP_NTZ, row_hash STRING",
     "gold.fact_picklists":
         "CodPickList STRING, DataPickList TIMESTAMP_NTZ, CodPedido STRING, DataPedido TIMESTAMP_NTZ, NF STRING, "

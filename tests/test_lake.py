@@ -1,6 +1,7 @@
 """The whole load on a small hand-made set of files, then again, then with changes."""
 
 import os
+import shutil
 
 import pytest
 from conftest import as_set
@@ -88,7 +89,7 @@ def lake(spark, tmp_path_factory):
         return tables.read_table(spark, out, name)
 
     reports = [{tuple(r) for r in run(DAY1).collect()}]
-    first = {t: as_set(table(t)) for t in schemas.tables() if t.split(".")[1] not in ("dim_operador", "dim_transportadora", "opkl_versions")}
+    first = {t: as_set(table(t)) for t in schemas.tables() if t.split(".")[1] not in ("dim_operador", "dim_transportadora", "opkl_versions", "separation_bins")}
     reports.append({tuple(r) for r in run(DAY1).collect()})
     again = {t: as_set(table(t)) for t in first}
     drop(spark, raw, "OCRD", customers("Ana Maria", "2026-02-01 15:00:00"), "20260210_060000")
@@ -369,3 +370,18 @@ def test_key_filter_loses_no_key(spark):
     stored, source = spark.range(5000).selectExpr("cast(id AS string) AS k", "id"), spark.range(0, 5000, 50).selectExpr("cast(id AS string) AS k")
     assert may_match(stored, source, ["k"]).where("id % 50 = 0").count() == 100 and may_match(stored, source, ["k"]).count() < 200
     assert may_match(stored, source, ["k"], words=1).where("id % 50 = 0").count() == 100
+
+
+def test_quarantine_keeps_malformed_lines_out_of_the_tables(spark, lake, tmp_path):
+    raw, kept = shutil.copytree(lake["raw"], tmp_path / "raw"), f"{tmp_path}/quarantine"
+    with open(raw / "OPKL" / "OPKL_20260211_060000.csv", "w", encoding="utf-8") as f:
+        f.write(";".join(schemas.RAW_COLUMNS["OPKL"].split()) + "\n9001;2026-02-10\n" + ";".join(["9002", "2026-02-10", *[""] * 15, "more"]) + "\n")
+    loaded = f"{tmp_path}/loaded"
+    refresh(spark, str(raw), loaded, DAY2, quarantine=kept).collect()
+    assert as_set(tables.read_table(spark, loaded, "silver.opkl_clean")) == as_set(lake["table"]("silver.opkl_clean"))
+    lines = spark.read.parquet(f"{kept}/OPKL")
+    assert sorted((r.line[:4], r.fields) for r in lines.collect()) == [("9001", 2), ("9002", 18)]
+    assert all(r.source_file.endswith("OPKL_20260211_060000.csv") for r in lines.collect())
+    padded = f"{tmp_path}/padded"
+    refresh(spark, str(raw), padded, DAY2).collect()
+    assert {"9001", "9002"} <= {r.pick_list_id for r in tables.read_table(spark, padded, "silver.opkl_clean").collect()}

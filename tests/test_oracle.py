@@ -16,7 +16,8 @@ NAMES = ["scan_csv_bronze", "parse_dates", "repair_decimal", "dedup_latest_heade
          "row_hash_versioned", "calendar_join", "header_with_lines", "upsert_hash_guarded", "upsert_composite_key", "unknown_member", "scd2_customer",
          "sync_history_hash_only", "asof_branch_sk", "fact_upsert", "dq_scd_late", "dq_scd_overlap", "dq_scd_gap", "dq_totals", "operator_productivity",
          "exclude_downtime", "stream_upsert_header", "stream_late_files", "skewed_lookup", "skewed_asof",
-         "bronze_drops", "bronze_recent", "operator_dim", "carrier_dim", "merge_moved_partition", "merge_after_publish", "downtime_intervals", "refresh_window", "stream_keyed_state"]
+         "bronze_drops", "bronze_recent", "operator_dim", "carrier_dim", "merge_moved_partition", "merge_after_publish", "downtime_intervals", "refresh_window", "stream_keyed_state",
+         "malformed_lines", "sla_rollup", "branch_hours", "map_cost_center", "map_supervisor", "calendar_dim"]
 
 
 @pytest.fixture(scope="module")
