@@ -5,8 +5,9 @@ or last place. That depends on the k-mer alone, so equal passages have equal anc
 stand, and a window of k - s neighbouring k-mers always holds one. ``anchors`` gives all of them with their
 positions, for positional matching; ``fingerprint`` keeps the smallest hashes of a text, the usual bottom sketch, as a hex string.
 
-Defined results: NULL is an empty text; the empty text has the empty fingerprint, which is like only itself; in a
-text shorter than 3 k, k is a third of its length; repeated rows are texts of their own; extra columns are not touched.
+Defined results: NULL is an empty text; the empty text has the empty fingerprint, which is like only itself; a
+text shorter than k, or without a closed syncmer, is one anchor as a whole; k is the same for all others, so that a short passage shares its anchors with
+any text that holds it; repeated rows are texts of their own; extra columns are not touched.
 """
 
 from bisect import bisect_right
@@ -62,12 +63,13 @@ def syncmers(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]
     if not len(codes):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     codes = _mixed(codes + _MULTIPLY)
-    if len(codes) < 3 * k:
-        k, s = max(1, len(codes) // 3), max(1, len(codes) // 6)
-    inner = _grams(codes, s)
-    lowest = _smallest(inner, k - s + 1)
-    at = np.flatnonzero((inner[: len(lowest)] == lowest) | (inner[k - s:] == lowest))
-    return at, _grams(codes, k)[at]
+    if len(codes) >= k:
+        inner = _grams(codes, s)
+        lowest = _smallest(inner, k - s + 1)
+        at = np.flatnonzero((inner[: len(lowest)] == lowest) | (inner[k - s:] == lowest))
+        if len(at):
+            return at, _grams(codes, k)[at]
+    return np.zeros(1, np.int64), _grams(codes, len(codes))
 
 
 def fingerprint(text: str, k: int = K, s: int = S, size: int = SKETCH) -> str:
