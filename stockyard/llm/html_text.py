@@ -2,11 +2,12 @@
 
 A page is a row of words and tags. Each word scores one, each tag a negative weight; one linear scan finds the region whose sum is
 highest (the maximum-scoring subsequence). Tag weights are learned from labelled pages, those whose content is marked by
-exactly one ``article`` element: a tag costs the more the larger the share of its occurrences outside marked content.
+exactly one ``article`` element: a tag costs the more the larger the share of its occurrences outside marked content. Every tag of HTML has a weight
+of its own; names that are not HTML's (custom elements, misspellings, noise) share one, so that the weights are learned from all tags and yet are few.
 Elements that are never content (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) are taken out and cost as one tag each.
 One that is known only by its class, id or role stays if it holds a ``main`` or the page's first ``article`` or, on a page with neither, most of the words.
 
-Defined results: a NULL or empty page has an empty text; of regions with equal scores the first, then the shortest, wins; an unclosed element ends with the page only
+Defined results: a NULL or empty page has an empty text; of regions with equal scores the one that ends first, then the shortest, wins; an unclosed element ends with the page only
 if it is a footer, else it is read as if it had no tag; nothing is cut from long pages; extra columns are not touched.
 """
 
@@ -48,6 +49,10 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Tags that may stand in content; if no labelled page shows one, it costs little. Others unseen cost ``OUTSIDE``.
 _PLAIN = frozenset("a abbr b bdi bdo blockquote br caption cite code dd del dfn div dl dt em figcaption figure h1 h2 h3 h4 h5 h6 hr i img ins kbd li main mark ol p pre q s samp section small span strong sub sup table tbody td tfoot th thead time tr u ul var wbr".split())
+#: Names with a weight of their own: HTML's. All others have that of ``OTHER``.
+_NAMED = BLOCKS | _VOID | _PLAIN | frozenset("""audio big button canvas center cite data datalist del font frame frameset iframe label legend map marquee math meter nobr noframes
+    noscript object optgroup option output picture progress ruby rp rt script select slot strike style svg template textarea title tt var video wbr""".split())
+OTHER = "other"
 
 WORD, TAG, NOT = 0, 1, 2
 
@@ -119,6 +124,10 @@ def _holds(content: tuple[list[int], list[int]], start: int, end: int) -> bool:
     return 2 * (before[end] - before[start]) > before[-1]
 
 
+def _class(tag: str) -> str:
+    return tag if tag in _NAMED else OTHER
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
     """Text of the best region: blocks in order, two line ends between them, white space within a block as one blank."""
     row = parts(page)
@@ -129,7 +138,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         elif kind == NOT:
             total -= REMOVED
         else:
-            total -= weights.get(value, INSIDE if value in _PLAIN else OUTSIDE)
+            total -= weights.get(_class(value), INSIDE if value in _PLAIN else OUTSIDE)
         if total <= 0:
             total, start = 0.0, k + 1
         elif total > best:
@@ -150,7 +159,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 
 def tag_counts(pages: DataFrame, page: str = "html") -> DataFrame:
-    """``tag, inside, outside`` over all labelled pages."""
+    """``tag, inside, outside`` over all labelled pages and all their tags; ``tag`` is a name of HTML or ``OTHER``."""
     layout = pa.schema([("tag", pa.string()), ("inside", pa.int64()), ("outside", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,11 +171,8 @@ def tag_counts(pages: DataFrame, page: str = "html") -> DataFrame:
                 if len(edges) != 2 or edges[0][1] or not edges[1][1]:
                     continue
                 for k, (kind, value, _) in enumerate(row):
-                    if kind == TAG and len(value) <= 20:
-                        seen.setdefault(value, [0, 0])[not edges[0][0] < k < edges[1][0]] += 1
-            if len(seen) > 10_000:
-                yield pa.RecordBatch.from_pylist([{"tag": t, "inside": a, "outside": b} for t, (a, b) in seen.items()], layout)
-                seen.clear()
+                    if kind == TAG:
+                        seen.setdefault(_class(value), [0, 0])[not edges[0][0] < k < edges[1][0]] += 1
         if seen:
             yield pa.RecordBatch.from_pylist([{"tag": t, "inside": a, "outside": b} for t, (a, b) in seen.items()], layout)
 
@@ -174,10 +180,9 @@ def tag_counts(pages: DataFrame, page: str = "html") -> DataFrame:
     return marked.mapInArrow(work, "tag string, inside long, outside long").groupBy("tag").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
 
 
-def tag_weights(pages: DataFrame, page: str = "html", most_tags: int = 1000) -> dict[str, float]:
-    """Cost of each of the ``most_tags`` most frequent tags."""
-    often = tag_counts(pages, page).orderBy((F.col("inside") + F.col("outside")).desc(), "tag").limit(most_tags)
-    return {r.tag: INSIDE + (OUTSIDE - INSIDE) * r.outside / (r.inside + r.outside) for r in often.collect()}
+def tag_weights(pages: DataFrame, page: str = "html") -> dict[str, float]:
+    """Cost of each tag seen: one of the fixed names of HTML, or ``OTHER`` for all the rest together."""
+    return {r.tag: INSIDE + (OUTSIDE - INSIDE) * r.outside / (r.inside + r.outside) for r in tag_counts(pages, page).collect()}
 
 
 def main_texts(page: Column, weights: dict[str, float]) -> Column:
