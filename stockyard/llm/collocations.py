@@ -118,8 +118,8 @@ class _Words(dict):
         return number
 
     def numbers(self, text: str) -> np.ndarray:
-        parts = [np.fromiter(map(self.__getitem__, some), np.int64, len(some)) for some in _tokens(text)]
-        whole_text = np.concatenate([*parts, np.zeros(1, np.int64)])
+        parts = [np.fromiter(map(self.__getitem__, some), np.int32, len(some)) for some in _tokens(text)]
+        whole_text = np.concatenate([*parts, np.zeros(1, np.int32)])
         return whole_text[whole_text >= 0]
 
 
@@ -137,6 +137,10 @@ class _Block:
         self.sequences.setdefault((lang, shard), []).append(numbers)
         self.size += len(numbers)
 
+    def release(self) -> None:
+        """Forget all; who asked for the block still holds it while the next one grows."""
+        self.words, self.sequences = {}, {}
+
     def joined(self) -> Iterator[tuple[str, int, _Words, np.ndarray]]:
         for (lang, shard), parts in self.sequences.items():
             yield lang, shard, self.words[lang], np.concatenate(parts)
@@ -150,10 +154,19 @@ def _phrases(sequence: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarr
         at = at[sequence[at + size - 1] > 0]
         if not len(at):
             return
-        _, first, inverse, count = np.unique((number[at] << 32) | sequence[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
-        yield size, at[first], count
-        number = np.zeros(len(sequence), np.int64)
-        number[at] = inverse
+        # By hand rather than by np.unique, which keeps several more arrays of this length at once.
+        pairs = (number[at].astype(np.int64) << 32) | sequence[at + size - 1]
+        order = np.argsort(pairs)
+        pairs = pairs[order]
+        begins = np.concatenate([[True], pairs[1:] != pairs[:-1]])
+        del pairs
+        edges = np.flatnonzero(begins)
+        if size < longest:
+            number = np.zeros(len(sequence), np.int32)
+            number[at[order]] = np.cumsum(begins, dtype=np.int32)
+        first = at[order[edges]]
+        del order, begins
+        yield size, first, np.diff(edges, append=len(at))
 
 
 def _hashes(sequence: np.ndarray, starts: np.ndarray, size: int, words: _Words) -> np.ndarray:
@@ -173,6 +186,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], wanted: BitMap | None, shards: bo
                 block.add(lang, shard if shards else 0, text)
                 if block.size >= BLOCK:
                     yield block
+                    block.release()
                     block = _Block(wanted)
     if block.size:
         yield block
@@ -203,12 +217,15 @@ def _mined(texts: DataFrame, frequent, longest: int) -> DataFrame:
     """``lang, shard, hash, n`` of every block: phrases of frequent words by hash."""
     layout = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())])
 
+    def rows(block: _Block) -> Iterator[pa.RecordBatch]:
+        for lang, shard, words, sequence in block.joined():
+            for size, starts, count in _phrases(sequence, longest):
+                yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(np.zeros(len(starts), np.int8), [lang]).cast(pa.string()), pa.array(np.full(len(starts), shard, np.int32)),
+                                                  pa.array(_hashes(sequence, starts, size, words).view(np.int64)), pa.array(count)], schema=layout)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, frequent.value, True):
-            for lang, shard, words, sequence in block.joined():
-                for size, starts, count in _phrases(sequence, longest):
-                    yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(np.zeros(len(starts), np.int8), [lang]).cast(pa.string()), pa.array(np.full(len(starts), shard, np.int32)),
-                                                      pa.array(_hashes(sequence, starts, size, words).view(np.int64)), pa.array(count)], schema=layout)
+            yield from rows(block)
 
     return texts.mapInArrow(work, "lang string, shard int, hash long, n long")
 
@@ -217,16 +234,19 @@ def _counted(texts: DataFrame, frequent, candidates, longest: int) -> DataFrame:
     """``lang, phrase, size, n`` of every block: phrases that may be frequent in some shard."""
     layout = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64())])
 
+    def rows(block: _Block) -> Iterator[pa.RecordBatch]:
+        for lang, _, words, sequence in block.joined():
+            names = pa.array(words.names, pa.binary())
+            for size, starts, count in _phrases(sequence, longest):
+                kept = candidates.value.holds(_hashes(sequence, starts, size, words))
+                starts, count = starts[kept], count[kept]
+                phrase = pc.binary_join_element_wise(*[names.take(pa.array(sequence[starts + k])) for k in range(size)], pa.scalar(b" ", pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(np.zeros(len(starts), np.int8), [lang]).cast(pa.string()), phrase.cast(pa.string()),
+                                                  pa.array(np.full(len(starts), size, np.int32)), pa.array(count)], schema=layout)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, frequent.value, False):
-            for lang, _, words, sequence in block.joined():
-                names = pa.array(words.names, pa.binary())
-                for size, starts, count in _phrases(sequence, longest):
-                    kept = candidates.value.holds(_hashes(sequence, starts, size, words))
-                    starts, count = starts[kept], count[kept]
-                    phrase = pc.binary_join_element_wise(*[names.take(pa.array(sequence[starts + k])) for k in range(size)], pa.scalar(b" ", pa.binary()))
-                    yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(np.zeros(len(starts), np.int8), [lang]).cast(pa.string()), phrase.cast(pa.string()),
-                                                      pa.array(np.full(len(starts), size, np.int32)), pa.array(count)], schema=layout)
+            yield from rows(block)
 
     return texts.mapInArrow(work, "lang string, phrase string, size int, n long")
 
