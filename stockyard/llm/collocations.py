@@ -8,7 +8,7 @@ the support of every shard would be one, and nothing would be left out. A shard
 Three scans: words, with the sizes of the shards; phrases of frequent words, in each shard, by a hash; phrases that were frequent in some shard, whole.
 What a scan needs to know of the one before are two bit maps of fixed size, of frequent words and of phrases frequent in a shard. A bit
 set by chance lets a rare phrase be counted, nothing more: only exact counts of whole phrases decide. A task counts
-its own rows before anything moves, in blocks of about ``BLOCK`` words or one longer text.
+its own rows before anything moves, in blocks of about ``BLOCK`` words or one longer text; the last scan, which hands on candidates only, in blocks of ``LAST_BLOCK``.
 
 Defined results: NULL and empty texts have no words; a NULL language is ``und``; A to Z are lower-cased, no other letter; a word is a run without blank and tab, and a
 phrase does not go over ``.,;:!?`` or a line end; repeated rows count as often as they occur; ties go by phrase in the order of UTF-8 bytes; an empty table has no phrases;
@@ -31,7 +31,9 @@ from stockyard.llm.scratch import Scratch
 from stockyard.operators.skew import find_hot, lookup
 
 UNKNOWN = "und"
-SHARDS, BLOCK = 4, 3_000_000
+SHARDS, BLOCK, LAST_BLOCK = 4, 3_000_000, 1_000_000
+#: Phrases hashed, named and handed to Spark together.
+_SENT = 1 << 16
 #: A bit map has 2 to this power bits, 16 MB.
 MAP_BITS = 27
 #: Numbers of 64 bits of a bit map that travel together.
@@ -169,6 +171,13 @@ def _phrases(sequence: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarr
         yield size, first, np.diff(edges, append=len(at))
 
 
+def _parts(sequence: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``_phrases``, at most ``_SENT`` at a time, so that their hashes and names are never all in memory."""
+    for size, starts, count in _phrases(sequence, longest):
+        for lo in range(0, len(starts), _SENT):
+            yield size, starts[lo:lo + _SENT], count[lo:lo + _SENT]
+
+
 def _hashes(sequence: np.ndarray, starts: np.ndarray, size: int, words: _Words) -> np.ndarray:
     known = np.array(words.hashes, np.uint64)
     out = np.full(len(starts), size, np.uint64)
@@ -177,14 +186,14 @@ def _hashes(sequence: np.ndarray, starts: np.ndarray, size: int, words: _Words)
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], wanted: BitMap | None, shards: bool) -> Iterator[_Block]:
+def _blocks(batches: Iterator[pa.RecordBatch], wanted: BitMap | None, shards: bool, most: int = BLOCK) -> Iterator[_Block]:
     block = _Block(wanted)
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             rows = batch.slice(lo, 256)
             for lang, shard, text in zip(*(rows.column(k).to_pylist() for k in range(3))):
                 block.add(lang, shard if shards else 0, text)
-                if block.size >= BLOCK:
+                if block.size >= most:
                     yield block
                     block.release()
                     block = _Block(wanted)
@@ -219,7 +228,7 @@ def _mined(texts: DataFrame, frequent, longest: int) -> DataFrame:
 
     def rows(block: _Block) -> Iterator[pa.RecordBatch]:
         for lang, shard, words, sequence in block.joined():
-            for size, starts, count in _phrases(sequence, longest):
+            for size, starts, count in _parts(sequence, longest):
                 yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(np.zeros(len(starts), np.int8), [lang]).cast(pa.string()), pa.array(np.full(len(starts), shard, np.int32)),
                                                   pa.array(_hashes(sequence, starts, size, words).view(np.int64)), pa.array(count)], schema=layout)
 
@@ -237,7 +246,7 @@ def _counted(texts: DataFrame, frequent, candidates, longest: int) -> DataFrame:
     def rows(block: _Block) -> Iterator[pa.RecordBatch]:
         for lang, _, words, sequence in block.joined():
             names = pa.array(words.names, pa.binary())
-            for size, starts, count in _phrases(sequence, longest):
+            for size, starts, count in _parts(sequence, longest):
                 kept = candidates.value.holds(_hashes(sequence, starts, size, words))
                 starts, count = starts[kept], count[kept]
                 phrase = pc.binary_join_element_wise(*[names.take(pa.array(sequence[starts + k])) for k in range(size)], pa.scalar(b" ", pa.binary()))
@@ -245,7 +254,7 @@ def _counted(texts: DataFrame, frequent, candidates, longest: int) -> DataFrame:
                                                   pa.array(np.full(len(starts), size, np.int32)), pa.array(count)], schema=layout)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches, frequent.value, False):
+        for block in _blocks(batches, frequent.value, False, LAST_BLOCK):
             yield from rows(block)
 
     return texts.mapInArrow(work, "lang string, phrase string, size int, n long")
