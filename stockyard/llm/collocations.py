@@ -8,7 +8,8 @@ the support of every shard would be one, and nothing would be left out. A shard
 Three scans: words, with the sizes of the shards; phrases of frequent words, in each shard, by a hash; phrases that were frequent in some shard, whole.
 What a scan needs to know of the one before are two bit maps of fixed size, of frequent words and of phrases frequent in a shard. A bit
 set by chance lets a rare phrase be counted, nothing more: only exact counts of whole phrases decide. A task counts
-its own rows before anything moves, in blocks of about ``BLOCK`` words or one longer text; the last scan, which hands on candidates only, in blocks of ``LAST_BLOCK``.
+its own rows before anything moves, in blocks of about ``BLOCK`` words or one longer text. The last scan counts a phrase only if its beginning
+may be frequent in a shard too, as it is whenever the phrase is.
 
 Defined results: NULL and empty texts have no words; a NULL language is ``und``; A to Z are lower-cased, no other letter; a word is a run without blank and tab, and a
 phrase does not go over ``.,;:!?`` or a line end; repeated rows count as often as they occur; ties go by phrase in the order of UTF-8 bytes; an empty table has no phrases;
@@ -31,7 +32,7 @@ from stockyard.llm.scratch import Scratch
 from stockyard.operators.skew import find_hot, lookup
 
 UNKNOWN = "und"
-SHARDS, BLOCK, LAST_BLOCK = 4, 3_000_000, 1_000_000
+SHARDS, BLOCK = 4, 3_000_000
 #: Phrases hashed, named and handed to Spark together.
 _SENT = 1 << 16
 #: A bit map has 2 to this power bits, 16 MB.
@@ -148,12 +149,17 @@ class _Block:
             yield lang, shard, self.words[lang], np.concatenate(parts)
 
 
-def _phrases(sequence: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each length: places where each distinct phrase begins, and its occurrences. Phrases of a length are numbered to find those of the next."""
+def _phrases(sequence: np.ndarray, longest: int, wanted=None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length: places where each distinct phrase begins, and its occurrences. Phrases of a length are numbered to find those of the next.
+
+    ``wanted`` tells of which places, for a length, the phrases and the longer ones that begin with them are counted.
+    """
     number, at = sequence, np.flatnonzero(sequence > 0)
     for size in range(2, longest + 1):
         at = at[at + size <= len(sequence)]
         at = at[sequence[at + size - 1] > 0]
+        if wanted is not None and len(at):
+            at = at[np.concatenate([wanted(at[lo:lo + _SENT], size) for lo in range(0, len(at), _SENT)])]
         if not len(at):
             return
         # By hand rather than by np.unique, which keeps several more arrays of this length at once.
@@ -171,29 +177,28 @@ def _phrases(sequence: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarr
         yield size, first, np.diff(edges, append=len(at))
 
 
-def _parts(sequence: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _parts(sequence: np.ndarray, longest: int, wanted=None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``_phrases``, at most ``_SENT`` at a time, so that their hashes and names are never all in memory."""
-    for size, starts, count in _phrases(sequence, longest):
+    for size, starts, count in _phrases(sequence, longest, wanted):
         for lo in range(0, len(starts), _SENT):
             yield size, starts[lo:lo + _SENT], count[lo:lo + _SENT]
 
 
-def _hashes(sequence: np.ndarray, starts: np.ndarray, size: int, words: _Words) -> np.ndarray:
-    known = np.array(words.hashes, np.uint64)
+def _hashes(sequence: np.ndarray, starts: np.ndarray, size: int, known: np.ndarray) -> np.ndarray:
     out = np.full(len(starts), size, np.uint64)
     for k in range(size):
         out = _mixed(out * _GOLDEN + known[sequence[starts + k]])
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], wanted: BitMap | None, shards: bool, most: int = BLOCK) -> Iterator[_Block]:
+def _blocks(batches: Iterator[pa.RecordBatch], wanted: BitMap | None, shards: bool) -> Iterator[_Block]:
     block = _Block(wanted)
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             rows = batch.slice(lo, 256)
             for lang, shard, text in zip(*(rows.column(k).to_pylist() for k in range(3))):
                 block.add(lang, shard if shards else 0, text)
-                if block.size >= most:
+                if block.size >= BLOCK:
                     yield block
                     block.release()
                     block = _Block(wanted)
@@ -223,41 +228,39 @@ def _word_counts(texts: DataFrame) -> DataFrame:
 
 
 def _mined(texts: DataFrame, frequent, longest: int) -> DataFrame:
-    """``lang, shard, hash, n`` of every block: phrases of frequent words by hash."""
-    layout = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())])
+    """``hash, place, n`` of every block: phrases of frequent words by hash; a place is a shard of a language."""
+    layout = pa.schema([("hash", pa.int64()), ("place", pa.int64()), ("n", pa.int64())])
 
     def rows(block: _Block) -> Iterator[pa.RecordBatch]:
         for lang, shard, words, sequence in block.joined():
+            known, place = np.array(words.hashes, np.uint64), np.array([words.seed ^ shard], np.uint64).view(np.int64)[0]
             for size, starts, count in _parts(sequence, longest):
-                yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(np.zeros(len(starts), np.int8), [lang]).cast(pa.string()), pa.array(np.full(len(starts), shard, np.int32)),
-                                                  pa.array(_hashes(sequence, starts, size, words).view(np.int64)), pa.array(count)], schema=layout)
+                yield pa.RecordBatch.from_arrays([pa.array(_hashes(sequence, starts, size, known).view(np.int64)), pa.array(np.full(len(starts), place, np.int64)), pa.array(count)], schema=layout)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, frequent.value, True):
             yield from rows(block)
 
-    return texts.mapInArrow(work, "lang string, shard int, hash long, n long")
+    return texts.mapInArrow(work, "hash long, place long, n long")
 
 
 def _counted(texts: DataFrame, frequent, candidates, longest: int) -> DataFrame:
-    """``lang, phrase, size, n`` of every block: phrases that may be frequent in some shard."""
-    layout = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64())])
+    """``lang, phrase, n`` of every block: phrases that may be frequent in some shard."""
+    layout = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def rows(block: _Block) -> Iterator[pa.RecordBatch]:
         for lang, _, words, sequence in block.joined():
-            names = pa.array(words.names, pa.binary())
-            for size, starts, count in _parts(sequence, longest):
-                kept = candidates.value.holds(_hashes(sequence, starts, size, words))
-                starts, count = starts[kept], count[kept]
+            names, known = pa.array(words.names, pa.binary()), np.array(words.hashes, np.uint64)
+            wanted = lambda at, size: candidates.value.holds(_hashes(sequence, at, size, known))  # noqa: E731, B023
+            for size, starts, count in _parts(sequence, longest, wanted):
                 phrase = pc.binary_join_element_wise(*[names.take(pa.array(sequence[starts + k])) for k in range(size)], pa.scalar(b" ", pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(np.zeros(len(starts), np.int8), [lang]).cast(pa.string()), phrase.cast(pa.string()),
-                                                  pa.array(np.full(len(starts), size, np.int32)), pa.array(count)], schema=layout)
+                yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(np.zeros(len(starts), np.int8), [lang]).cast(pa.string()), phrase.cast(pa.string()), pa.array(count)], schema=layout)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches, frequent.value, False, LAST_BLOCK):
+        for block in _blocks(batches, frequent.value, False):
             yield from rows(block)
 
-    return texts.mapInArrow(work, "lang string, phrase string, size int, n long")
+    return texts.mapInArrow(work, "lang string, phrase string, n long")
 
 
 def _dealt(df: DataFrame, *keys: str) -> DataFrame:
@@ -278,13 +281,15 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, support: int = 10, shard
     # The support of a shard: ``support`` times its share of the language's words, rounded up; all in whole numbers.
     sizes = counted.where("word IS NULL").select("lang", F.col("shard").alias("of"), F.col("n").cast("decimal(19,0)").alias("held"))
     shares = sizes.join(totals.select(F.col("lang").alias("l"), F.col("n").cast("decimal(19,0)").alias("all")), F.col("lang") == F.col("l"))
-    least = shares.select(F.col("l"), "of", F.expr(f"cast(greatest(1, (held * {support} + all - 1) div all) AS long)").alias("least"))
-    local = _dealt(_mined(texts, frequent, longest), "hash").groupBy("hash", "lang", "shard").agg(F.sum("n").alias("n"))
+    # A shard of a language by the hash of the language, as the tasks name it; two of one hash would only bring more candidates.
+    least = shares.select(F.xxhash64("l").bitwiseXOR(F.col("of").cast("long")).alias("at"), F.expr(f"cast(greatest(1, (held * {support} + all - 1) div all) AS long)").alias("least"))
+    local = _dealt(_mined(texts, frequent, longest), "hash").groupBy("hash", "place").agg(F.sum("n").alias("n"))
     # At most ``shards`` rows a language.
-    often = local.join(F.broadcast(least), (F.col("lang") == F.col("l")) & (F.col("shard") == F.col("of"))).where("n >= least")
+    often = local.join(F.broadcast(least), F.col("place") == F.col("at")).where("n >= least")
     candidates = spark.sparkContext.broadcast(bit_map(often, "hash"))
 
-    exact = _dealt(_counted(texts, frequent, candidates, longest), "phrase").groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
+    exact = _dealt(_counted(texts, frequent, candidates, longest), "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
+    exact = exact.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "a")
     single = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("a"))
     return scratch.keep(exact.unionByName(single)), scratch.keep(totals)
 
