@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from stockyard.llm.bitmaps import BitMap, bit_map, mixed
 from stockyard.llm.rows import shard_of, whole
 from stockyard.llm.scratch import Scratch
 from stockyard.operators.skew import find_hot, lookup
@@ -35,22 +36,10 @@ UNKNOWN = "und"
 SHARDS, BLOCK = 4, 3_000_000
 #: Phrases hashed, named and handed to Spark together.
 _SENT = 1 << 16
-#: A bit map has 2 to this power bits, 16 MB.
-MAP_BITS = 27
-#: Numbers of 64 bits of a bit map that travel together.
-_MAP_BLOCK = 1 << 13
-
 #: Upper to lower case, tab to blank, and all that ends a piece to a line end.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 _SLICE = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-_FOLD = np.uint64(0xD6E8FEB86659FD93)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _FOLD
-    x = (x ^ (x >> np.uint64(32))) * _FOLD
-    return x ^ (x >> np.uint64(32))
 
 
 def _tokens(text: str) -> Iterator[list[bytes]]:
@@ -63,40 +52,6 @@ def _tokens(text: str) -> Iterator[list[bytes]]:
         start = end
 
 
-class BitMap:
-    """Which hashes may be in a set."""
-
-    def __init__(self, words: np.ndarray):
-        self.words, self.bits = words, 6 + int(len(words)).bit_length() - 1
-
-    def __contains__(self, value: int) -> bool:
-        at = value & ((1 << self.bits) - 1)
-        return bool(int(self.words[at >> 6]) >> (at & 63) & 1)
-
-    def holds(self, values: np.ndarray) -> np.ndarray:
-        at = values & np.uint64((1 << self.bits) - 1)
-        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-
-
-def bit_map(hashes: DataFrame, column: str, bits: int = MAP_BITS) -> BitMap:
-    """Bit map of a column of hashes; its ``2 ** (bits - 3)`` bytes reach the driver in blocks, however many hashes there are."""
-    size = min(_MAP_BLOCK, 1 << (bits - 6))
-
-    def packed(rows: pa.Table) -> pa.Table:
-        words = np.zeros(size, np.uint64)
-        words[rows.column("word").to_numpy() % size] = rows.column("set").to_numpy().view(np.uint64)
-        return pa.table({"block": [rows.column("block")[0].as_py()], "words": pa.array([words.tobytes()], pa.binary())})
-
-    word = F.shiftright(F.col(column).bitwiseAND((1 << bits) - 1), 6)
-    bit = F.expr(f"shiftleft(1L, cast(`{column}` & 63 AS int))")
-    filled = hashes.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("set"))
-    blocks = filled.withColumn("block", F.floor(F.col("word") / size)).groupBy("block").applyInArrow(packed, "block long, words binary")
-    words = np.zeros(1 << (bits - 6), np.uint64)
-    for r in blocks.collect():
-        words[r.block * size:(r.block + 1) * size] = np.frombuffer(r.words, np.uint64)
-    return BitMap(words)
-
-
 def _seed(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 42)
 
@@ -187,7 +142,7 @@ def _parts(sequence: np.ndarray, longest: int, wanted=None) -> Iterator[tuple[in
 def _hashes(sequence: np.ndarray, starts: np.ndarray, size: int, known: np.ndarray) -> np.ndarray:
     out = np.full(len(starts), size, np.uint64)
     for k in range(size):
-        out = _mixed(out * _GOLDEN + known[sequence[starts + k]])
+        out = mixed(out * _GOLDEN + known[sequence[starts + k]])
     return out
 
 

@@ -81,8 +81,8 @@ def op8_language_id(spark, sf_dir):
     from stockyard.llm.language_id import held_out, identified, learnable, train
     docs = table(spark, sf_dir, "documents")
     model = train(docs.where(learnable(docs)).select("lang", whole(F.col("text")).alias("text")))
-    judged = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), identified(spark, model, whole(F.col("text"))).alias("l"))
-    return judged.select("doc_id", "held_out", F.col("l.lang").alias("lang_pred"), F.col("l.score").alias("score"))
+    judged = identified(docs, model, F.col("text"), "doc_id", held_out(F.col("doc_id")).alias("held_out"))
+    return judged.select("doc_id", "held_out", F.col("lang").alias("lang_pred"), "score")
 
 
 #: The rules of the query: verdict, host, path.

@@ -263,10 +263,33 @@ def test_language_id(spark, docs, empty):
     made = [(i, lang, say(parts, 40)) for i in range(60) for lang, parts in (("xx", ["ba", "ke", "lo"]), ("yy", ["stra", "ünd", "ich"]))]
     model = language_id.train(spark.createDataFrame([(lang, t) for i, lang, t in made if i < 40], "lang string, text string"))
     rows = spark.createDataFrame([(lang, t) for i, lang, t in made if i >= 40] + [("und", None), ("und", ""), ("und", "12 ²!")], "lang string, text string")
-    for r in rows.select("lang", language_id.identified(spark, model, F.col("text")).alias("l")).collect():
-        assert r.lang == r.l.lang and 0 <= r.l.score <= 1
+    for r in language_id.identified(rows, model, F.col("text"), F.col("lang").alias("truth")).collect():
+        assert r.truth == r.lang and 0 <= r.score <= 1
     nothing = language_id.train(empty.select("lang", "text"))
-    assert {r.l.lang for r in docs.select(language_id.identified(spark, nothing, F.col("text")).alias("l")).collect()} == {"und"}
+    assert {r.lang for r in language_id.identified(docs, nothing, F.col("text")).collect()} == {"und"}
+
+
+def test_sequences_that_workers_do_not_hold_count_as_well(spark):
+    rng = random.Random(2)
+    say = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(n))
+    made = [(lang, say(letters, 60)) for lang, letters in (("xx", "abcdefgh"), ("yy", "cdefgü\U00010414寿"), ("zz", "aeioukst")) for _ in range(12)]
+    labelled = spark.createDataFrame(made[::2], "lang string, text string")
+    texts = [t for _, t in made] + [None, "", "12 ²!", "q" * 5000, "gü a 寿", f"{'de ' * 3000}x"] * 2
+    rows = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "at int, text string, grams string")
+    judge = lambda model: {r.at: r for r in language_id.identified(rows, model, F.col("text"), "at").collect()}
+    all_sent = language_id.train(labelled)
+    assert all_sent.sent["others"] is None
+    expected, total = judge(all_sent), all_sent.entries.count()
+    assert sum(len(a[0]) for a in all_sent.sent["arrays"]) == total and len(expected) == len(texts)
+    for most in (0, total // 10, total - 1):
+        model = language_id.train(labelled, most)
+        assert sum(len(a[0]) for a in model.sent["arrays"]) <= most and model.sent["others"] is not None
+        got = judge(model)
+        assert got.keys() == expected.keys()
+        for at, e in expected.items():
+            assert (got[at].lang, got[at].letters) == (e.lang, e.letters), (most, at)
+            assert got[at].score == pytest.approx(e.score, abs=1e-3)
+            assert got[at].bits == (None if e.bits is None else pytest.approx(e.bits, rel=1e-4))
 
 
 def test_url_rules(spark):

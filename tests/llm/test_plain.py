@@ -125,7 +125,7 @@ def test_entropy_spans_equal_plain_windows():
 def test_probabilities_sum_to_one_and_bits_equal_plain_kneser_ney(spark):
     texts = {"aa": ["banana bandana", "nab ban an", "ananas bana"], "bb": ["cold code", "doce old cod", "do cede deco"]}
     rows = [(lang, t) for lang, some in texts.items() for t in some]
-    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string")).sent
     scorer = language_id.Scorer(model)
     for lang, some in texts.items():
         plain = _PlainKneserNey([w for t in some for w in language_id.words(t)], model["uniform"])
@@ -134,7 +134,7 @@ def test_probabilities_sum_to_one_and_bits_equal_plain_kneser_ney(spark):
             # Letters seen in any language, a blank and nothing else share the whole probability, but for what the uniform part gives to letters of no model.
             assert plain.total(history, model["uniform"]) == pytest.approx(1.0, abs=1e-9)
         for word in ("banana", "an", "zzz", "code", "old", "x", "nabcod"):
-            assert scorer._word_bits([word])[0, column] == pytest.approx(plain.bits(word), rel=1e-4), (lang, word)
+            assert scorer._word_bits([word])[0][0, column] == pytest.approx(plain.bits(word), rel=1e-4), (lang, word)
 
 
 class _PlainKneserNey:
