@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockyard import fixed_values as V
 from stockyard.operators.dedup import Ranking, keep_latest, require_unique
 from stockyard.operators.upsert import upsert
-from stockyard.sources.shared_dir import cut_lineage
+from stockyard.sources.shared_dir import staged
 from stockyard.sources.tables import merge_touched, publish, read_table
 
 
@@ -28,24 +28,28 @@ def upsert_stream(raw: DataFrame, clean: Callable[[DataFrame], DataFrame], lake:
     with it a stored row gives way only to one that ranks higher, so late files change nothing they should not.
     A stored row without ranking columns (loaded otherwise) ranks lowest.
     """
-    def store(source: DataFrame, name: str, by: dict[str, Column] | None) -> None:
+    def store(source: DataFrame, name: str, by: dict[str, Column] | None, latest: bool = False) -> None:
         if by:
             (part, value), = by.items()
-            merge_touched(require_unique(source, keys), lake, name, keys, part, value)
+            merge_touched(source if latest else require_unique(source, keys), lake, name, keys, part, value, stored=latest)
         else:
-            publish(upsert(read_table(source.sparkSession, lake, name), source, keys), lake, name)
+            publish(upsert(read_table(source.sparkSession, lake, name), source, keys, source_unique=latest), lake, name)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         if ranking is None:
             store(clean(batch), table, partition)
             return
-        spark, fresh = batch.sparkSession, cut_lineage(ranking.stage(batch))
-        known = read_table(spark, lake, table).join(fresh.select(*keys), keys, "left_semi")
-        known = known.join(read_table(spark, lake, ranking.table).select(*keys, *ranking.beside), keys, "left")
-        latest = cut_lineage(keep_latest(fresh.unionByName(ranking.restage(known)), keys, ranking.latest))
-        # The rows first: a batch cut off in between is played again, and its rows still rank above what it stored.
-        store(ranking.finish(latest), table, partition)
-        store(latest.select(*keys, *ranking.beside, F.xxhash64(*ranking.beside).cast("string").alias("row_hash")), ranking.table, ranking.partition)
+        spark = batch.sparkSession
+        with staged(spark) as stage:
+            fresh, known = stage(ranking.stage(batch)), read_table(spark, lake, table)
+            latest = fresh  # the highest of each key; nothing stored can rank higher before the first row is
+            if known.take(1):
+                known = known.join(fresh.select(*keys), keys, "left_semi")
+                known = known.join(read_table(spark, lake, ranking.table).select(*keys, *ranking.beside), keys, "left")
+                latest = stage(keep_latest(fresh.unionByName(ranking.restage(known)), keys, ranking.latest))
+            # The rows first: a batch cut off in between is played again, and its rows still rank above what it stored.
+            store(ranking.finish(latest), table, partition, latest=True)
+            store(latest.select(*keys, *ranking.beside, F.xxhash64(*ranking.beside).cast("string").alias("row_hash")), ranking.table, ranking.partition, latest=True)
 
     query = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
