@@ -67,3 +67,39 @@ def test_staged_rows_go_with_their_block_and_the_setting_comes_back(spark):
     with staged(spark) as stage, tidy_shuffles(spark):
         assert stage(spark.range(5)).count() == 5 and spark.conf.get(setting) == "true"
     assert left_over(spark) == before and spark.conf.get(setting) == was
+
+
+def test_hot_keys_are_found_without_moving_the_others(spark):
+    from stockyard.operators.skew import find_hot
+    key = F.when(F.col("id") % 4 == 0, "hot").when(F.col("id") % 4 == 1, F.lit(None).cast("string")).otherwise(F.concat(F.lit("k"), "id"))
+    df = spark.range(4000).select(key.alias("k"), (F.col("id") + 0).cast("string").alias("own"))
+    assert find_hot(df, ["k", "own"], tasks=8) == {"k": {"hot": 2}, "own": {}}
+
+
+def test_hot_keys_are_counted_by_bucket_first(spark, monkeypatch):
+    from stockyard.operators.skew import find_hot
+    df = spark.range(4000).select(F.col("id").cast("string").alias("own"))
+    seen, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: seen.append(self._jdf.queryExecution().optimizedPlan().toString()) or collect(self))
+    assert find_hot(df, ["own"], tasks=8) == {"own": {}}
+    assert len(seen) == 1 and "bucket" in seen[0]
+
+
+def test_entry_sets_the_method_limit_for_the_lakehouse_only(spark, monkeypatch):
+    import __spark_entry__ as entry
+    name = "spark.sql.codegen.hugeMethodLimit"
+    monkeypatch.setattr(entry.registry, "queries", lambda: {"lake": lambda spark, d: spark.conf.get(name)})
+    assert entry.queries()["lake"](spark, "") == "8000"
+    monkeypatch.setattr(entry.llm, "queries", lambda: {"text": lambda spark, d: spark.conf.get(name)})
+    assert entry.queries()["text"](spark, "") != "8000"
+    entry.queries()["lake"](spark, "")
+
+
+def test_a_picklist_fact_shuffles_its_lines_once_before_they_are_weighed(spark, rows):
+    raw = rows("AbsEntry STRING, PickEntry STRING, OrderEntry STRING, ItemCode STRING, RelQtty STRING, PickQtty STRING",
+               ("1", "1", "1", "P1", "2", "2"), ("1", "1", "1", "P1", "1", "1"), ("2", "1", "2", "P2", "3", "3"))
+    at = "2026-01-01 00:00:00"
+    dealt = silver.lines(raw, at, by_picklist=True)
+    assert as_set(dealt) == as_set(silver.lines(raw, at)) and dealt.count() == 2
+    per_picklist = dealt.groupBy("pick_list_id", "item_code").count()
+    assert per_picklist._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
