@@ -146,7 +146,7 @@ def test_partitions_between_which_a_row_moves_share_a_commit(spark, rows, tmp_pa
 def test_few_rows_take_one_commit_and_many_a_bounded_number():
     assert tables._commits({"a": 5, "b": 400_000, "c": 1}) == [{"a", "b", "c"}]
     many = tables._commits({f"{n:03}": 1_000_000 for n in range(320)})
-    assert len(many) == 16 and sorted(set().union(*many)) == [f"{n:03}" for n in range(320)] and sum(map(len, many)) == 320
+    assert len(many) == tables._COMMITS and sorted(set().union(*many)) == [f"{n:03}" for n in range(320)] and sum(map(len, many)) == 320
     assert tables._commits({"a": 10**9, "b": 1, "c": 10**9, "d": 10**9}, [("d", "a"), ("d", "a")]) == [{"a", "d"}, {"b"}, {"c"}]
     assert tables._commits({}) == []
 
